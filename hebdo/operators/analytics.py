@@ -69,3 +69,22 @@ def band_counts(pm25_silver: DataFrame) -> DataFrame:
     """Air-quality band of every single valid reading, counted per band."""
     return (pm25_silver.groupBy(flags.aq_band(F.col("pm25_value")).alias("air_quality_category"))
             .agg(F.count(F.lit(1)).alias("n_readings")))
+
+
+def load_summary(rows: DataFrame, entity: str, chunk_cols: list[str], source: str) -> DataFrame:
+    """Rows and distinct request chunks per entity plus a grand total (``entity = 'ALL'``),
+    in one aggregate (``rollup`` expands each row to its entity and total group)."""
+    chunk = F.struct(*chunk_cols) if len(chunk_cols) > 1 else F.col(chunk_cols[0])
+    agg = rows.rollup(entity).agg(F.count(F.lit(1)).alias("n_rows"),
+                                  F.countDistinct(chunk).alias("n_chunks"))
+    return agg.select(F.lit(source).alias("source"),
+                      F.coalesce(F.col(entity).cast("string"), F.lit("ALL")).alias("entity"),
+                      "n_rows", "n_chunks")
+
+
+def missing_window_report(missing_ranges: DataFrame, entity: str) -> DataFrame:
+    """Per entity: how many ranges and days are still missing, first and last missing day."""
+    days = F.datediff("range_end", "range_start") + 1
+    return missing_ranges.groupBy(entity).agg(
+        F.count(F.lit(1)).alias("n_ranges"), F.sum(days).cast("bigint").alias("n_missing_days"),
+        F.min("range_start").alias("first_missing"), F.max("range_end").alias("last_missing"))
