@@ -24,4 +24,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module so their decorators run."""
-    from hebdo.plans import q_calendar, q_gaps, q_layers, q_payload, q_stream, q_text, q_upsert  # noqa: F401
+    from hebdo.plans import q_admin, q_calendar, q_gaps, q_layers, q_payload, q_stream, q_text, q_upsert  # noqa: F401
