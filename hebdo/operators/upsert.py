@@ -147,3 +147,39 @@ def write_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
      .partitionBy(partition_col).parquet(target_path))
     source.unpersist()
     return n
+
+
+BUCKET_COL = "_bucket"
+
+
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def merge_latest(spark: SparkSession, state_path: str, batch: DataFrame, keys: list[str],
+                 rank: list[Column], buckets: int, staging_path: str) -> None:
+    """Fold ``batch`` into the keyed state table at ``state_path`` keeping the latest row per
+    key, rewriting only the hash buckets the batch touches.
+
+    The state is partitioned by ``pmod(xxhash64(keys), buckets)``; the touched bucket ids
+    (at most ``buckets`` small ints) prune the state read, the new content of those buckets
+    is staged in the shared folder and then swapped in with dynamic partition overwrite.
+    Re-running the same batch gives the same state (latest of the same rows), so a replay
+    after a failure at any point is safe."""
+    b = batch.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
+    try:
+        touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]
+        if not touched:
+            return
+        rows = b
+        if _path_exists(spark, state_path):
+            state = spark.read.parquet(state_path).filter(F.col(BUCKET_COL).isin(touched))
+            rows = state.unionByName(b.select(*state.columns))
+        new = latest_by(rows, [*keys, BUCKET_COL], rank)
+        new.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging_path)
+        (spark.read.parquet(staging_path).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(state_path))
+    finally:
+        b.unpersist()

@@ -14,7 +14,10 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Runtime broadcast only when AQE has *measured* the side below this size.
+    # No broadcast from static estimates (an explode's estimate is its input's size, so a
+    # spine of millions of rows can look tiny); AQE broadcasts a join side only after it has
+    # *measured* the side's shuffle output below this size, else the sort-merge join stays.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",

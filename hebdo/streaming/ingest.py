@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from hebdo.operators.upsert import latest_by
+from hebdo.operators.upsert import BUCKET_COL, merge_latest
 from hebdo.session import scratch_path, unique_suffix
 
 EVENT_SCHEMA = StructType([
@@ -71,40 +71,18 @@ def weekly_tumbling(spark: SparkSession, landing: str, out_path: str, checkpoint
     return out_path
 
 
-def _latest_state(spark: SparkSession, state_root: str) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(state_root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    versions = sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path)
-                      if s.getPath().getName().startswith("batch=")
-                      and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    return spark.read.parquet(f"{state_root}/batch={versions[-1]}") if versions else None
-
-
-def latest_state_path(spark: SparkSession, state_root: str) -> DataFrame:
-    df = _latest_state(spark, state_root)
-    if df is None:
-        raise FileNotFoundError(state_root)
-    return df
-
-
 def stream_upsert(spark: SparkSession, landing: str, state_root: str, checkpoint: str,
-                  keys: list[str], rank_cols: list[str]) -> str:
+                  keys: list[str], rank_cols: list[str], buckets: int = 64) -> str:
     """Keep the latest row per key (by ``rank_cols``) across all micro-batches.
 
-    Each batch's new state = latest(previous state ∪ batch) is written to
-    ``state_root/batch=<id>``; a replayed batch id rewrites the same folder from the same
-    inputs, so replays are idempotent, and a newer row is never overwritten by an older one
-    arriving later."""
+    Each batch is folded into a bucketed state table (:func:`merge_latest`): only the
+    buckets the batch touches are read and rewritten, a newer row is never replaced by an
+    older one arriving later, and a replayed batch id leaves the same state."""
     stream = event_stream(spark, landing)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = _latest_state(spark, state_root)
-        rows = batch if prev is None else prev.unionByName(batch)
-        new = latest_by(rows, keys, [F.col(c) for c in rank_cols])
-        new.write.mode("overwrite").parquet(f"{state_root}/batch={batch_id}")
+        merge_latest(spark, state_root, batch, keys, [F.col(c) for c in rank_cols], buckets,
+                     f"{state_root}__staging/batch={batch_id}")
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -112,6 +90,10 @@ def stream_upsert(spark: SparkSession, landing: str, state_root: str, checkpoint
     return state_root
 
 
+def read_state(spark: SparkSession, state_root: str) -> DataFrame:
+    return spark.read.parquet(state_root).drop(BUCKET_COL)
+
+
 def stream_dedup(spark: SparkSession, landing: str, out_path: str, checkpoint: str,
                  keys: list[str], watermark: str = "40 days") -> str:
     """Drop repeated natural keys arriving within the watermark; file sink, append mode."""
