@@ -121,6 +121,17 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
                  F.count(F.lit(1)).alias("affected"))
 
 
+def stage(df: DataFrame, name: str = "batch") -> DataFrame:
+    """Staging load: write a merge source once to a fresh folder under the shared checkpoint
+    root and read it back. The merge reads its source several times (uniqueness check, key
+    anti-join, union); staging evaluates an expensive source (JSON parsing) once and cuts its
+    lineage, so a lost executor re-reads files instead of re-parsing payloads."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "staging", f"{name}-{unique_suffix()}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def write_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys: list[str],
                  partition_col: str, stamp: dict[str, Column] | None = None) -> int:
     """Merge ``source`` into the Parquet table at ``target_path`` (partitioned by
@@ -130,10 +141,9 @@ def write_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
     partitions is first written to a staging folder under the shared checkpoint root, then
     swapped in with dynamic partition overwrite. Both steps are plain file writes, so a lost
     executor only re-runs its tasks. Returns the number of source rows merged."""
-    source = source.cache()
+    source = stage(source, "merge-source")
     n = source.count()
     if n == 0:
-        source.unpersist()
         raise ValueError("empty merge source: nothing to upsert")
     target = spark.read.parquet(target_path)
     touched = source.select(partition_col).distinct()
@@ -145,7 +155,6 @@ def write_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
     (spark.read.parquet(staging).select(*target.columns)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(target_path))
-    source.unpersist()
     return n
 
 

@@ -69,6 +69,8 @@ _DEPENDS = {"fx_upsert_target": ("fx_raw_weather",), "fx_upsert_source": ("fx_ra
 
 
 def register_driver_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
+    from hebdo.session import apply_engine_conf
+    apply_engine_conf(spark)  # UTC dates and ANSI rules whatever session the caller built
     for name in names:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
 
