@@ -123,5 +123,5 @@ def set_description(spark: SparkSession, name: str, text: str) -> None:
 
 
 def description(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name} ('comment')").collect()
-    return rows[0][1] if rows else None
+    """The table comment (``TBLPROPERTIES ('comment' = ...)`` sets the comment itself)."""
+    return spark.catalog.getTable(name).description
