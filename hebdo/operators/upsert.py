@@ -145,6 +145,12 @@ def write_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
     n = source.count()
     if n == 0:
         raise ValueError("empty merge source: nothing to upsert")
+    if not _path_exists(spark, target_path):
+        # first load: the merge into an empty table inserts every source row
+        empty = source.limit(0)
+        first = upsert(empty, source, keys, stamp=stamp)
+        first.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
+        return n
     target = spark.read.parquet(target_path)
     touched = source.select(partition_col).distinct()
     # semi join on the partition column lets dynamic partition pruning skip untouched files

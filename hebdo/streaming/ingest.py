@@ -104,3 +104,23 @@ def stream_dedup(spark: SparkSession, landing: str, out_path: str, checkpoint: s
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
+
+
+def stream_ingest(spark: SparkSession, landing: str, target_path: str, checkpoint: str,
+                  kind: str, quarantine_path: str | None = None, files_per_batch: int = 8) -> str:
+    """Incremental ingest of landing payload files (STR1 + STR2): every micro-batch of new
+    files runs the batch ingest job (normalise, quarantine, dedup, staged upsert of the
+    touched partitions). The upsert is keyed, so a replayed batch leaves the same table."""
+    from hebdo.operators import jobs
+
+    run = {"weather": jobs.ingest_weather_docs, "flu": jobs.ingest_flu_docs}[kind]
+    docs = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(landing)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            run(spark, batch, target_path, quarantine_path)
+
+    q = (docs.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return target_path

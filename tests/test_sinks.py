@@ -84,3 +84,30 @@ def test_stream_upsert_restart_is_idempotent(spark):
     assert second.count() == n1 and first.exceptAll(second).count() == 0
     expected = events.select("user_id", "event_type").distinct().count()
     assert n1 == expected
+
+
+def test_ingest_jobs_and_stream(spark):
+    from hebdo.operators import jobs
+    from hebdo.sources import payloads as P
+    from hebdo.sources.fixtures import fixture
+    root = S.run_folder(spark, "test-ingest")
+    weather = fixture(spark, "/root/testdata/sf0.001", "fx_raw_weather")
+    docs = P.weather_payloads_from_raw(weather)
+    n = jobs.ingest_weather_docs(spark, docs, f"{root}/weather", f"{root}/quarantine")
+    assert n == weather.count()
+    cols = ["date", "point_id", "temp_mean"]
+    got = spark.read.parquet(f"{root}/weather").select(*cols)
+    assert got.exceptAll(weather.select(*cols)).count() == 0 and got.count() == weather.count()
+    # the same payloads as a file stream into a second table: same content
+    docs.write.text(f"{root}/landing")
+    S.stream_ingest(spark, f"{root}/landing", f"{root}/weather2", f"{root}/ckpt", "weather", files_per_batch=1)
+    again = spark.read.parquet(f"{root}/weather2").select(*cols)
+    assert again.exceptAll(got).count() == 0 and again.count() == got.count()
+    flu = fixture(spark, "/root/testdata/sf0.001", "fx_raw_flu")
+    nf = jobs.ingest_flu_docs(spark, P.flu_payloads_from_raw(flu), f"{root}/flu")
+    assert 0 < nf <= flu.count()
+    pm = fixture(spark, "/root/testdata/sf0.001", "fx_raw_pm25")
+    daily = pm.groupBy("sensor_id", "date_utc").agg(*[F.max(c).alias(c) for c in
+                                                      ("value", "units", "parameter", "location_id", "longitude", "latitude")])
+    npm = jobs.ingest_pm25_docs(spark, P.pm25_pages_from_raw(daily), f"{root}/pm25")
+    assert npm == daily.count()
