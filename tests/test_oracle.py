@@ -14,6 +14,9 @@ from conftest import SF_SMALL
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 ORACLES = E.oracle_sql()
+# no pairwise joins, no Python row evaluation in any registered query
+FORBIDDEN_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                   "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 
 
 def _norm(v):
@@ -45,6 +48,9 @@ def con():
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in FORBIDDEN_NODES:
+        assert node not in plan, f"{name}: {node} in plan"
     rows = [tuple(r) for r in df.collect()]
     if name not in ORACLES:
         assert len(rows) > 0
