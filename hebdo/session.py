@@ -57,8 +57,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is unset, as in
     tests, fall back to a folder under the warehouse directory, and register it.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on the client (Spark Connect)
+        sc = None
+    configured = sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None
     try:
         configured = configured or spark.conf.get("spark.checkpoint.dir")
     except Exception:  # noqa: BLE001 - unset runtime key
@@ -66,7 +69,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         configured = warehouse.rstrip("/") + "/_hebdo_checkpoints"
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
