@@ -184,3 +184,14 @@ def test_flags(spark):
     bands = spark.createDataFrame([(v,) for v in vals], "m double").select(flags.aq_band(F.col("m")).alias("b"))
     assert [r.b for r in bands.collect()] == ["Good", "Moderate", "Moderate", "Unhealthy for Sensitive",
                                               "Unhealthy", "Very Unhealthy", "Hazardous"]
+
+
+def test_first_nonblank_and_day_counts(spark):
+    from hebdo.functions.text import first_nonblank
+    df = spark.createDataFrame([(None, "  ", " x ", "y")], "a string, b string, c string, d string")
+    assert df.select(first_nonblank(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("f")).first().f == "x"
+    r = spark.range(1).select(cal.days_inclusive(F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 1, 31))).alias("n")).first()
+    assert r.n == 31
+    assert cal.resolve_range("2024-01-03", "2024-01-10", align_monday=True) == (dt.date(2024, 1, 1), dt.date(2024, 1, 8))
+    with pytest.raises(ValueError):
+        cal.resolve_range("2024-01-10", "2024-01-03")
