@@ -133,14 +133,18 @@ def stage(df: DataFrame, name: str = "batch") -> DataFrame:
 
 
 def write_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys: list[str],
-                 partition_col: str, stamp: dict[str, Column] | None = None) -> int:
+                 partition_col: str, stamp: dict[str, Column] | None = None,
+                 cluster_by: list[str] | None = None) -> int:
     """Merge ``source`` into the Parquet table at ``target_path`` (partitioned by
     ``partition_col``), rewriting only the partitions the source touches.
 
     The target cannot be overwritten while it is read, so the new state of the touched
     partitions is first written to a staging folder under the shared checkpoint root, then
     swapped in with dynamic partition overwrite. Both steps are plain file writes, so a lost
-    executor only re-runs its tasks. Returns the number of source rows merged."""
+    executor only re-runs its tasks. ``cluster_by`` sorts rows within each written file so
+    Parquet row-group min/max statistics prune reads on those columns. Returns the number of
+    source rows merged."""
+    order = [partition_col, *(cluster_by or [])]
     source = stage(source, "merge-source")
     n = source.count()
     if n == 0:
@@ -148,14 +152,14 @@ def write_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
     if not _path_exists(spark, target_path):
         # first load: the merge into an empty table inserts every source row
         empty = source.limit(0)
-        first = upsert(empty, source, keys, stamp=stamp)
+        first = upsert(empty, source, keys, stamp=stamp).sortWithinPartitions(*order)
         first.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
         return n
     target = spark.read.parquet(target_path)
     touched = source.select(partition_col).distinct()
     # semi join on the partition column lets dynamic partition pruning skip untouched files
     target_part = target.join(touched, partition_col, "left_semi")
-    new_state = upsert(target_part, source.select(*[c for c in source.columns]), keys, stamp=stamp)
+    new_state = upsert(target_part, source, keys, stamp=stamp).sortWithinPartitions(*order)
     staging = scratch_path(spark, "staging", unique_suffix())
     new_state.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
     (spark.read.parquet(staging).select(*target.columns)
