@@ -44,22 +44,39 @@ def existing_keys_sql_range(spark: SparkSession, table: str, entity_cols: list[s
                      args={"start": start, "end": end})
 
 
+def spread_entities(ranges: DataFrame, entity_cols: list[str]) -> DataFrame:
+    """Hash-partition a (small) entity table over the cluster's cores before a generator.
+
+    AQE sizes partitions by their *input* bytes, so a small entity table can be coalesced
+    into one partition, and one task would then generate every entity's calendar (millions of
+    sensors x thousands of days). An explicit partition count is kept by AQE."""
+    spark = ranges.sparkSession
+    try:
+        n = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext on the client
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ranges.repartition(n, *entity_cols)
+
+
 def day_spine(ranges: DataFrame, entity_cols: list[str], start: str = "start",
               end: str = "end", key: str = "date") -> DataFrame:
     """(entity..., date) for every day of each entity's [start, end]."""
-    return ranges.select(*entity_cols, F.explode(cal.day_spine(F.col(start), F.col(end))).alias(key))
+    return spread_entities(ranges, entity_cols).select(
+        *entity_cols, F.explode(cal.day_spine(F.col(start), F.col(end))).alias(key))
 
 
 def week_spine(ranges: DataFrame, entity_cols: list[str], start: str = "start",
                end: str = "end", key: str = "week_start") -> DataFrame:
     """(entity..., Monday) for every ISO week touching each entity's [start, end]."""
-    return ranges.select(*entity_cols, F.explode(cal.week_spine(F.col(start), F.col(end))).alias(key))
+    return spread_entities(ranges, entity_cols).select(
+        *entity_cols, F.explode(cal.week_spine(F.col(start), F.col(end))).alias(key))
 
 
 def month_windows(ranges: DataFrame, entity_cols: list[str], start: str = "start",
                   end: str = "end") -> DataFrame:
     """Calendar months of [start, end], the first starting at start, the last ending at end."""
-    m = ranges.select(*entity_cols, F.col(start).alias("_s"), F.col(end).alias("_e"),
+    m = spread_entities(ranges, entity_cols).select(
+                      *entity_cols, F.col(start).alias("_s"), F.col(end).alias("_e"),
                       F.explode(cal.month_window_starts(F.col(start), F.col(end))).alias("_m"))
     ws, we = cal.clip_month_window(F.col("_m"), F.col("_s"), F.col("_e"))
     return m.select(*entity_cols, ws.alias("window_start"), we.alias("window_end"))
