@@ -8,12 +8,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from hebdo.plans import registry
 
 from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-ORACLES = E.oracle_sql()
+registry.load_all()
+ORACLES = registry.ORACLES
 # no pairwise joins, no Python row evaluation in any registered query
 FORBIDDEN_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
                    "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
@@ -45,9 +47,9 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in FORBIDDEN_NODES:
         assert node not in plan, f"{name}: {node} in plan"
