@@ -159,8 +159,9 @@ def exact_groups(docs: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
              .select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                      F.lit(True).alias("kept"), "text_sha256"))
     maybe = flagged.filter("bloom_repeated")
-    best = (maybe.groupBy("text_sha256")
-            .agg(F.count(F.lit(1)).alias("group_size"), F.min(_order(F.col("uid"))).alias("best")))
+    best = written(maybe.groupBy("text_sha256")
+                   .agg(F.count(F.lit(1)).alias("group_size"), F.min(_order(F.col("uid"))).alias("best")),
+                   "exact-groups")
     grouped = (maybe.join(best, "text_sha256")  # a hot group's rows: AQE splits its side
                .select("doc_id", F.col("best.c").alias("keep_id"), "group_size",
                        (F.col("uid") == F.col("best.uid")).alias("kept"), "text_sha256"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import exact_dedup, mixing
+from hebdo.llm import bpe, exact_dedup, mixing
 from hebdo.llm.common import table
 from hebdo.llm.oracles import ORACLES  # noqa: F401 - read by the entry module
 
@@ -29,3 +29,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts and the row of each that stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and what they decode to, as hashes."""
+    import public_tokenizers
+
+    return bpe.encode_documents(table(spark, sf_dir, "documents"),
+                                public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
