@@ -25,6 +25,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from hebdo.llm.common import ship_package
+
 #: Entries of the piece cache and states of the transducer before they are dropped and remade.
 CACHE_PIECES = 400_000
 MAX_STATES = 200_000
@@ -325,6 +327,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
     rank file on every executor.
     """
 
+    ship_package(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = loaded(path, pattern)
         gc.disable()  # the states are many small tuples without cycles: scanning them doubles the time
@@ -355,6 +359,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
 def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and text of rows with doc_id and packed ids; null ids give null text."""
 
+    ship_package(encoded.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decoder = loaded(path, pattern)
         for batch in batches:

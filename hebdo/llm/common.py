@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
+import hebdo
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +61,20 @@ def forget_on_exit(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
-def only(df: DataFrame, cols: list[str]) -> DataFrame:
-    """The named columns; those that the input lacks are left out."""
-    return df.select(*[c for c in cols if c in df.columns])
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (once per application), as
+    ``--py-files`` would: needed where the workers do not share the driver's Python path."""
+    sc = spark.sparkContext
+    if getattr(sc, "hebdo_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(hebdo.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="hebdo-"), "hebdo.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc.hebdo_shipped = True
+

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hebdo.llm.common import squeezed, text_of, written
+from hebdo.llm.common import ship_package, squeezed, text_of, written
 
 #: Cells per row and cells looked at per row: about 0.24 % of unrepeated rows are shuffled.
 CELLS_PER_ROW = 16
@@ -118,6 +118,7 @@ def look_up(bits, n_cells: int):
 def flag_repeated(hashed: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
     """``hashed`` (with a long column bloom_hash) plus bloom_repeated: false only where no
     other row has the hash. Only the hash goes through Python."""
+    ship_package(hashed.sparkSession)
     n_rows = hashed.select("bloom_hash").count()
     ranges = max(1, math.ceil(n_rows * CELLS_PER_ROW / max_cells))
     n_cells = max(1024, math.ceil(n_rows * CELLS_PER_ROW / ranges))

@@ -39,3 +39,13 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id,
        row_number() OVER w = 1 AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)
 """
+
+ORACLES["op3_warc"] = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+                  sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS last_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN last_id IS NOT NULL AND page_id IS DISTINCT FROM last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN last_id IS NOT NULL AND page_id IS DISTINCT FROM last_id THEN last_id END AS refers_to
+FROM g
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import bpe, exact_dedup, mixing
+from hebdo.llm import bpe, exact_dedup, minhash, mixing, qda, warc
 from hebdo.llm.common import table
 from hebdo.llm.oracles import ORACLES  # noqa: F401 - read by the entry module
 
@@ -38,3 +38,21 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return bpe.encode_documents(table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages written as WARC archives and read back."""
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document."""
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
