@@ -18,7 +18,7 @@ import base64
 import gc
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import pyarrow as pa
@@ -27,10 +27,13 @@ from pyspark.sql import DataFrame
 
 from hebdo.llm.common import ship_package
 
-#: Entries of the piece cache and states of the transducer before they are dropped and remade.
-CACHE_PIECES = 400_000
+#: Pieces in a generation of the cache, and states of the transducer before they are remade.
+CACHE_PIECES = 600_000
 MAX_STATES = 200_000
-#: Pieces of a text that are held as a list at a time.
+#: Longer pieces (bytes or characters) are not kept.
+LONG_PIECE = 128
+#: Characters of texts that are split together, and pieces or tokens that are held at a time.
+CHARS_AT_ONCE = 4_000_000
 PIECES_AT_ONCE = 200_000
 
 
@@ -61,11 +64,11 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        # a state: settled token or None, bytes after it, the positions from which a token may
-        # go on with their trie nodes, and for each position the start and number of the token
+        # a state: settled token or -1, bytes after it, the positions from which a token may go
+        # on with their trie nodes, and for each position the start and number of the token
         # that ends there
-        self._states = [(None, b"", ((0, 0),), ((0, -1),))]
-        self._numbers = {(None, b""): 0}
+        self._states = [(-1, b"", ((0, 0),), (0,), (-1,))]
+        self._numbers = {(-1, b""): 0}
         self._next: dict[int, tuple[int, tuple[int, ...]]] = {}  # state and byte -> state, output
         self._ends: dict[int, tuple[int, ...]] = {}
 
@@ -88,15 +91,15 @@ class Transducer:
             self._split[token] = None if len(text) == 1 else tuple(parts) if len(parts) == 2 else (-1, -1)
         return self._split[token]
 
-    def _compatible(self, left: int | None, right: int) -> bool:
-        """Does the text of the two tokens encode to just them? Going down both tokens' merges
-        along the seam, no merge across it may come before those that made the tokens."""
-        if self._halves(right) == (-1, -1):
-            return False
-        if left is None:
-            return True
+    def _compatible(self, left: int, right: int) -> bool:
+        """Does the text of the two tokens (left: -1 at the beginning) encode to just them? Going
+        down both tokens' merges along the seam, no merge across it may come before those that
+        made the tokens."""
         key = left << 32 | right
         if key not in self._pairs:
+            if left < 0 or self._halves(right) == (-1, -1):
+                self._pairs[key] = self._halves(right) != (-1, -1)
+                return self._pairs[key]
             a, b, limit = left, right, 1 << 60
             while True:
                 across = self.ranks.get(self.tokens[a] + self.tokens[b])
@@ -128,129 +131,160 @@ class Transducer:
 
     def _step(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The transition on a byte: determinised now, remembered in ``_next``."""
-        settled, tail, live, tree = self._states[number]
-        tail += bytes((byte,))
-        n = len(tail)
-        end, going = None, []
+        settled, tail, live, starts, tokens = self._states[number]
+        end, going = -1, []
         for start, node in live:  # longest token first; one alone fits
             node = self._child.get(node << 8 | byte)
             if node is not None:
                 going.append((start, node))
-                if end is None:
+                if end < 0:
                     token = self._token_at[node]
-                    if token >= 0 and self._compatible(tree[start][1] if start else settled, token):
-                        end = (start, token)
-        if end is None:
+                    if token >= 0 and self._compatible(tokens[start] if start else settled, token):
+                        end, last = start, token
+        if end < 0:
             raise ValueError(f"no token ends with byte {byte}: the rank file lacks single bytes")
-        tree += (end,)
-        common = n
+        tail += bytes((byte,))
+        n = common = len(tail)
+        starts += (end,)
+        tokens += (last,)
         for p, _ in going:  # last position that every path passes
             while p != common:
                 if p > common:
-                    p = tree[p][0]
+                    p = starts[p]
                 else:
-                    common = tree[common][0]
-        going.append((n, 0))
-        emitted: tuple[int, ...] = ()
+                    common = starts[common]
+        emitted = self._path(starts, tokens, common)
         if common:
-            emitted = self._path(tree, common)
             settled, tail = emitted[-1], tail[common:]
-            going = [(p - common, node) for p, node in going]
-            tree = ((0, -1), *((start - common, token) for start, token in tree[common + 1:]))
-        key = (settled, tail)
-        to = self._numbers.get(key)
+        to = self._numbers.get((settled, tail))
         if to is None:
-            to = self._numbers[key] = len(self._states)
-            self._states.append((settled, tail, tuple(going), tree))
+            to = self._numbers[settled, tail] = len(self._states)
+            live = tuple([(p - common, node) for p, node in going] + [(n - common, 0)])
+            if common:
+                starts = (0, *[p - common for p in starts[common + 1:]])
+                tokens = (-1, *tokens[common + 1:])
+            self._states.append((settled, tail, live, starts, tokens))
         self._next[number << 8 | byte] = (to, emitted)
         return to, emitted
 
     @staticmethod
-    def _path(tree: tuple, p: int) -> tuple[int, ...]:
+    def _path(starts: tuple, tokens: tuple, p: int) -> tuple[int, ...]:
         """The tokens from the settled one to position ``p``."""
         path = []
-        while p > 0:
-            p, token = tree[p]
-            path.append(token)
+        while p:
+            path.append(tokens[p])
+            p = starts[p]
         return tuple(path[::-1])
 
     def _end(self, number: int) -> tuple[int, ...]:
         """What a state still emits when the piece ends."""
         if number not in self._ends:
-            _, tail, _, tree = self._states[number]
-            self._ends[number] = self._path(tree, len(tail))
+            _, tail, _, starts, tokens = self._states[number]
+            self._ends[number] = self._path(starts, tokens, len(tail))
         return self._ends[number]
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        whole = self.ranks.get(piece)
-        if whole is not None:  # a piece that is a token is that token
-            return [whole]
+    def encode_sorted(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """The ids of each piece. Sorted pieces share the run over what two neighbours begin with."""
         if len(self._states) > MAX_STATES:
             self._reset()
-        state, out, known = 0, [], self._next.get
-        for byte in piece:
-            state, emitted = known(state << 8 | byte) or self._step(state, byte)
-            if emitted:
-                out += emitted
-        out += self._end(state)
-        return out
-
-
-class _Packed(dict):
-    """Text -> its packed ids, made on first use. Half of the entries are of the last
-    generation: when the newer half is full, it becomes the last one."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.last = make, {}
-
-    def __missing__(self, text: str) -> bytes:
-        packed = self.last.get(text)
-        if packed is None:
-            packed = self.make(text)
-        if len(text) <= 64:
-            if len(self) >= CACHE_PIECES // 2:
-                self.last = dict(self)
-                self.clear()
-            self[text] = packed
-        return packed
-
-
-def pack(ids: list[int]) -> bytes:
+        known, step = self._next.get, self._step
+        before, states, outputs, result = b"", [0], [()], []
+        for piece in pieces:
+            whole = self.ranks.get(piece)
+            if whole is not None:  # a piece that is a token is that token
+                result.append((whole,))
+                continue
+            shared, most = 0, min(len(before), len(piece))
+            while shared < most and before[shared] == piece[shared]:
+                shared += 1
+            del states[shared + 1:], outputs[shared + 1:]
+            state, out = states[shared], outputs[shared]
+            if len(piece) > LONG_PIECE:
+                result.append(self._encode_long(state, out, piece[shared:]))
+                continue
+            for byte in piece[shared:]:
+                state, emitted = known(state << 8 | byte) or step(state, byte)
+                if emitted:
+                    out += emitted
+                states.append(state)
+                outputs.append(out)
+            result.append(out + self._end(state))
+            before = piece
+        return result
+
+    def _encode_long(self, state: int, out: tuple[int, ...], rest: bytes) -> tuple[int, ...]:
+        """The same without the outputs after each byte, which would grow with its square."""
+        ids = list(out)
+        for byte in rest:
+            state, emitted = self._next.get(state << 8 | byte) or self._step(state, byte)
+            ids += emitted
+        return (*ids, *self._end(state))
+
+
+def pack(ids: tuple[int, ...]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Encoder:
-    """Whole texts to ids: the pattern splits, the transducer encodes each piece.
+    """Whole texts to ids: the pattern splits, the transducer encodes each piece once.
 
-    With ``cut_at_spaces`` (right for patterns whose pieces take one space before a word), a
-    text is first cut before each space that a non-space follows, where a piece always begins;
-    what lies between two cuts is split and encoded once and remembered.
+    Packed ids of pieces are kept in two generations: when the newer one is full, it becomes
+    the older one, and what is asked for again moves back.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cut_at_spaces: bool = True):
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.split = regex.compile(pattern)
-        self.uncut = regex.compile(r" (?:\s|\Z)") if cut_at_spaces else regex.compile("")
-        encode, pieces = Transducer(ranks).encode_piece, self.split.findall
-        self.piece = _Packed(lambda piece: pack(encode(piece.encode())))
-        self.first = _Packed(lambda word: b"".join(map(self.piece.__getitem__, pieces(word))))
-        self.spaced = _Packed(lambda word: b"".join(map(self.piece.__getitem__, pieces(" " + word))))
+        self.transducer = Transducer(ranks)
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Have the packed ids of all ``pieces`` in the newer generation."""
+        if len(self.new) >= CACHE_PIECES:
+            self.old, self.new = self.new, {}
+        missing = []
+        for piece in pieces.difference(self.new):
+            packed = self.old.get(piece)
+            if packed is None:
+                missing.append(piece.encode())
+            else:
+                self.new[piece] = packed
+        missing.sort()
+        for piece, ids in zip(missing, self.transducer.encode_sorted(missing), strict=True):
+            self.new[piece.decode()] = pack(ids)
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text, packed. Texts are taken together up to CHARS_AT_ONCE; of a
+        longer one, some pieces at a time."""
+        held, chars = [], 0
+        for text in texts:
+            if chars and chars + len(text) > CHARS_AT_ONCE:
+                yield from self._encode_held(held)
+                held, chars = [], 0
+            if len(text) > CHARS_AT_ONCE:
+                found, out = (m.group() for m in self.split.finditer(text)), []
+                while some := list(islice(found, PIECES_AT_ONCE)):
+                    out += self._encode_held([some])
+                yield b"".join(out)
+            else:
+                held.append(self.split.findall(text))
+                chars += len(text)
+        yield from self._encode_held(held)
+
+    def _encode_held(self, held: list[list[str]]) -> Iterator[bytes]:
+        pieces = set().union(*held)
+        self._learn(pieces)
+        look = self.new.__getitem__
+        for each in held:
+            yield b"".join(map(look, each))
+        for piece in pieces:
+            if len(piece) > LONG_PIECE:
+                del self.new[piece]
 
     def encode(self, text: str) -> bytes:
-        """The ids of the text, packed as little-endian unsigned 32-bit integers."""
-        if len(text) > PIECES_AT_ONCE:
-            return b"".join(self._blocks(text))
-        if self.uncut.search(text):
-            return b"".join(map(self.piece.__getitem__, self.split.findall(text)))
-        first, *words = text.split(" ")
-        return self.first[first] + b"".join(map(self.spaced.__getitem__, words))
-
-    def _blocks(self, text: str) -> Iterator[bytes]:
-        """A long text's ids, some pieces at a time."""
-        found = (m.group() for m in self.split.finditer(text))
-        while some := list(islice(found, PIECES_AT_ONCE)):
-            yield b"".join(map(self.piece.__getitem__, some))
+        """The ids of one text, packed as little-endian unsigned 32-bit integers."""
+        return next(self.encode_all([text]))
 
 
 class Utf8Stream:
@@ -334,8 +368,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
         gc.disable()  # the states are many small tuples without cycles: scanning them doubles the time
         for batch in batches:
             n, ids_sha, text_sha, ids = [], [], [], []
-            for value in batch.column(1):
-                packed = encoder.encode(value.as_py() or "")
+            for packed in encoder.encode_all(value.as_py() or "" for value in batch.column(1)):
                 n.append(len(packed) // 4)
                 ids_sha.append(hashlib.sha256(packed).hexdigest())
                 decoded = hashlib.sha256()
