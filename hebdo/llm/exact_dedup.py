@@ -75,36 +75,37 @@ def _pieces(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def merge_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """mapInPandas over pieces sorted by number: one row per piece with the "twice" bitmap."""
+    """mapInPandas over pieces sorted by number: one row per piece with both bitmaps."""
+    row = lambda: pd.DataFrame({"piece": [number], "once": [once.tobytes()], "twice": [twice.tobytes()]})
     number, once, twice = None, None, None
     for pdf in batches:
         for n, a, b in zip(pdf["piece"], pdf["once"], pdf["twice"], strict=True):
             a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
             if n != number:
-                if number is not None and twice.any():
-                    yield pd.DataFrame({"piece": [number], "twice": [twice.tobytes()]})
+                if number is not None:
+                    yield row()
                 number, once, twice = n, a.copy(), b.copy()
             else:
                 twice |= b | (once & a)
                 once |= a
-    if number is not None and twice.any():
-        yield pd.DataFrame({"piece": [number], "twice": [twice.tobytes()]})
+    if number is not None:
+        yield row()
 
 
-def repeated_filter(hashes: DataFrame, n_cells: int):
-    """Broadcast bitmap of the cells that two or more of ``hashes`` (one long column) hit. Its
-    size is n_cells / 8 bytes at most, which ``max_cells`` bounds."""
+def filter_bits(hashes: DataFrame, n_cells: int, which: str):
+    """Broadcast bitmap of the cells that ``hashes`` (one long column) hit: ``once`` or more, or
+    ``twice`` or more. Its size is n_cells / 8 bytes at most, which ``max_cells`` bounds."""
     pieces = hashes.mapInArrow(count_cells(n_cells), "piece long, once binary, twice binary")
     merged = (pieces.repartition("piece").sortWithinPartitions("piece")
-              .mapInPandas(merge_pieces, "piece long, twice binary"))
+              .mapInPandas(merge_pieces, "piece long, once binary, twice binary").select("piece", which))
     bits = np.zeros(math.ceil(n_cells / PIECE) * (PIECE // 8), dtype=np.uint8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():
         at = row["piece"] * (PIECE // 8)
-        bits[at:at + PIECE // 8] = np.frombuffer(row["twice"], np.uint8)
+        bits[at:at + PIECE // 8] = np.frombuffer(row[which], np.uint8)
     return hashes.sparkSession.sparkContext.broadcast(bits)
 
 
-def look_up(bits, n_cells: int):
+def look_up(bits, n_cells: int, column: str = "bloom_hash") -> Column:
     """Pandas UDF: may another row have this hash?"""
 
     @F.pandas_udf("boolean")
@@ -112,7 +113,15 @@ def look_up(bits, n_cells: int):
         at = cells_of(h.to_numpy(np.int64), n_cells)
         return pd.Series(((bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1))
 
-    return in_filter(F.col("bloom_hash"))
+    return in_filter(F.col(column))
+
+
+def member_filter(members: DataFrame, column: str, max_cells: int = MAX_CELLS) -> Column:
+    """A boolean over another table's ``column``: false only where ``members`` lacks the hash.
+    More members than the filter has room for only make it pass more."""
+    ship_package(members.sparkSession)
+    n_cells = max(1024, min(max_cells, members.count() * CELLS_PER_ROW))
+    return look_up(filter_bits(members.select(column), n_cells, "once"), n_cells, column)
 
 
 def flag_repeated(hashed: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
@@ -128,7 +137,7 @@ def flag_repeated(hashed: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
     out = None
     for r in range(ranges):
         part = hashed.filter(F.col("bloom_range") == r).drop("bloom_range") if ranges > 1 else hashed
-        bits = repeated_filter(part.select("bloom_hash"), n_cells)
+        bits = filter_bits(part.select("bloom_hash"), n_cells, "twice")
         flagged = part.withColumn("bloom_repeated", look_up(bits, n_cells))
         out = flagged if out is None else out.unionByName(flagged)
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import bpe, exact_dedup, minhash, mixing, qda, warc
+from hebdo.llm import bpe, exact_dedup, minhash, mixing, qda, substring_dedup, warc
 from hebdo.llm.common import table
 from hebdo.llm.oracles import ORACLES  # noqa: F401 - read by the entry module
 
@@ -56,3 +56,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
     return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without the 200-byte strings that occur again."""
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
