@@ -49,3 +49,47 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN last_id IS NOT NULL AND page_id IS DISTINCT FROM last_id THEN last_id END AS refers_to
 FROM g
 """
+
+# CRC-32 by half bytes: each step shifts by four bits and adds the table entry of the low ones
+# (fixed values of the polynomial 0xEDB88320)
+_CRC_TABLE = ("[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, "
+              "3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]")
+
+ORACLES["op2_quality_rules"] = rf"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS uid, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+w AS (SELECT uid, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM t),
+vocabulary AS (
+  SELECT word, xor(list_reduce(
+           list_prepend(4294967295::BIGINT, flatten(list_transform(range(strlen(word)), lambda k: [
+             strpos('0123456789ABCDEF', substr(hex(encode(word)), 2 * k + 2, 1)) - 1,
+             strpos('0123456789ABCDEF', substr(hex(encode(word)), 2 * k + 1, 1)) - 1]))),
+           lambda crc, x: xor(({_CRC_TABLE}::BIGINT[])[(xor(crc, x) & 15) + 1], crc >> 4)), 4294967295::BIGINT) AS crc
+  FROM (SELECT DISTINCT word FROM w)),
+h AS (SELECT uid, i, crc, lead(crc) OVER (PARTITION BY uid ORDER BY i) AS next FROM w JOIN vocabulary USING (word)),
+g AS (SELECT uid, crc % 16384 AS bucket FROM h
+      UNION ALL SELECT uid, (crc * 1000003 + next) % 16384 FROM h WHERE next IS NOT NULL),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+c AS (SELECT bucket, count(*) AS raw, count(good.doc_id) AS target
+      FROM g JOIN t USING (uid) LEFT JOIN good ON t.doc_id = good.doc_id GROUP BY bucket),
+r AS (SELECT bucket, round_even((ln((target + 1.0) / ((SELECT sum(target) FROM c)::DOUBLE + 16384.0))
+                                 - ln((raw + 1.0) / ((SELECT sum(raw) FROM c)::DOUBLE + 16384.0))) * 1000000, 0)::BIGINT AS ratio
+      FROM (SELECT bucket, raw::DOUBLE AS raw, target::DOUBLE AS target FROM c)),
+scores AS (SELECT uid, sum(ratio) AS total, count(*) AS n FROM g JOIN r USING (bucket) GROUP BY uid),
+windows AS (SELECT uid, i, list(word) OVER (PARTITION BY uid ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS eight FROM w),
+twice AS (SELECT uid, i FROM (SELECT uid, i, count(*) OVER (PARTITION BY uid, eight) AS n FROM windows WHERE len(eight) = 8) WHERE n > 1),
+covered AS (SELECT uid, count(DISTINCT i + k) AS n FROM twice, range(8) AS r(k) GROUP BY uid),
+b AS (SELECT t.doc_id, t.uid, len(words)::BIGINT AS n_words,
+             length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+             (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+      FROM t LEFT JOIN covered USING (uid)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(total >= -80000 * n, false) AS kept
+FROM f LEFT JOIN scores USING (uid)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import bpe, exact_dedup, minhash, mixing, qda, substring_dedup, warc
+from hebdo.llm import bpe, exact_dedup, minhash, mixing, qda, quality_rules, substring_dedup, warc
 from hebdo.llm.common import table
 from hebdo.llm.oracles import ORACLES  # noqa: F401 - read by the entry module
 
@@ -64,3 +64,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("row.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and verdict of every document; documents labelled good are trusted."""
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return quality_rules.quality(table(spark, sf_dir, "documents"), trusted).drop("score")
