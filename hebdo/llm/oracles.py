@@ -93,3 +93,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND coalesce(total >= -80000 * n, false) AS kept
 FROM f LEFT JOIN scores USING (uid)
 """
+
+ORACLES["op5_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) AS pos
+  FROM conversations),
+c AS (SELECT conv_id, count(*) AS n_turns, list(struct_pack(role := role, text := text) ORDER BY pos) AS turns
+      FROM t GROUP BY conv_id),
+p AS (SELECT DISTINCT turns[1:k.k] AS turns FROM c, LATERAL (SELECT unnest(range(1, n_turns)) AS k) k),
+j AS (SELECT *, min(conv_id) OVER (PARTITION BY turns) AS copy_of FROM c),
+v AS (SELECT j.*, conv_id IS NOT DISTINCT FROM copy_of AND p.turns IS NULL AS kept FROM j LEFT JOIN p ON j.turns = p.turns)
+SELECT v.conv_id, n_turns, copy_of, kept, NULL::BIGINT AS part, NULL AS chat FROM v WHERE NOT kept
+UNION ALL
+SELECT v.conv_id, any_value(n_turns), any_value(copy_of), true, (pos - 1) // 256,
+       string_agg('<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10)
+                  || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY pos)
+FROM v JOIN t ON v.conv_id IS NOT DISTINCT FROM t.conv_id WHERE kept GROUP BY v.conv_id, (pos - 1) // 256
+"""

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.llm import bpe, exact_dedup, minhash, mixing, qda, quality_rules, substring_dedup, warc
+from hebdo.llm import (
+    bpe, chat, exact_dedup, licenses, minhash, mixing, qda, quality_rules, substring_dedup, warc,
+)
 from hebdo.llm.common import table
 from hebdo.llm.oracles import ORACLES  # noqa: F401 - read by the entry module
 
@@ -71,3 +73,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and verdict of every document; documents labelled good are trusted."""
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
     return quality_rules.quality(table(spark, sf_dir, "documents"), trusted).drop("score")
+
+
+@query
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered, and those left out."""
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license notices of every document, with the words each lacks and adds."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "first_line", "last_line", "license",
+                        F.array_join("missing", " ").alias("missing"), F.array_join("added", " ").alias("added"))
