@@ -6,12 +6,12 @@
    sequence of hash draws finds (optimal densification).
 2. Bands of the signature are bucket keys. In a bucket the most central class is the hub of a
    star, and each class is also paired with its nearest one: at most two candidates a member.
-   The hub and the nearest are found on signatures; pairs that these rule out are left.
-3. Candidates are confirmed on the full shingle sets, with integers; links give components.
+3. Candidates are compared on the full shingle sets, with integers; links give components.
 4. A star can miss a link between two of its points. So, for buckets that still hold several
-   components, every pair across components that the signatures do not rule out is confirmed
-   too; a bucket of one component needs no more pairs. Very large buckets are dealt out as
-   pairs of blocks. Nothing is capped.
+   components, pairs across components are compared too, unless the signatures rule them out or
+   what the two share with the hub does: sets that differ from the hub's in unlike amounts
+   cannot be close to each other. A bucket of one component needs no more pairs. Very large
+   buckets are dealt out as pairs of blocks. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ ROWS_PER_BAND = 4  # 32 bands: a pair at 0.75 shares no bucket with probability
 #: Pairs whose estimate is so many standard deviations below the threshold are ruled out.
 SIGMAS = 4.0
 #: Members of a bucket that one task compares at a time.
-BLOCK = 1024
+BLOCK = 512
 
 _EDGES = (np.arange(BINS, dtype=U) << U(57))
 _DRAWS = np.random.default_rng(77).integers(0, BINS, (8192, BINS), dtype=np.int64)
@@ -111,101 +111,133 @@ def _plausible(agree: np.ndarray, n: int, others: np.ndarray) -> np.ndarray:
     return (agree >= lowest * BINS) & (100 * small >= PERCENT * large)
 
 
-def star_pairs(n: np.ndarray, sig: np.ndarray, side: np.ndarray, comp: np.ndarray) -> set[tuple[int, int]]:
-    """Hub to members, and each member to its nearest."""
-    s = len(n)
-    total, best, partner = np.zeros(s), np.full(s, -1.0), np.full(s, -1)
-    for i in range(s):
-        agree = (sig == sig[i]).sum(axis=1).astype(float)
-        total[i] = agree.sum()
-        agree[~_plausible(agree, n[i], n)] = -1
-        agree[i] = -1
-        partner[i], best[i] = agree.argmax(), agree.max()
-    hub = int(total.argmax())
-    near = _plausible((sig == sig[hub]).sum(axis=1), n[hub], n)
-    out = {(min(hub, j), max(hub, j)) for j in np.flatnonzero(near).tolist() if j != hub}
-    return out | {(min(i, int(p)), max(i, int(p))) for i, p in enumerate(partner) if best[i] >= 0}
-
-
-def cross_pairs(n: np.ndarray, sig: np.ndarray, side: np.ndarray, comp: np.ndarray) -> set[tuple[int, int]]:
-    """Every plausible pair of different components (and blocks, where two meet)."""
-    out, two = set(), side.any() and not side.all()
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows sorted by their first column -> (value, the other columns as lists), value by value."""
+    value, held = None, []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if row[0] != value:
+                if len(held) > 1:
+                    yield value, list(zip(*held, strict=True))[1:]
+                value, held = row[0], []
+            held.append(row)
+    if len(held) > 1:
+        yield value, list(zip(*held, strict=True))[1:]
+
+
+def _signatures(sigs: tuple[bytes, ...]) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs), np.uint8).reshape(len(sigs), BINS)
+
+
+def hubs_and_nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (group, bucket, class_id, n_shingles, sig) sorted by group -> bucket, a, b, weight: the
+    most central class of each group (b null, weight its mean agreement) and each class with
+    its nearest one that is plausible."""
+    buckets, a, b, weights = [], [], [], []
+    schema = pa.schema([("bucket", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("weight", pa.float64())])
+    for _, (bucket, ids, n, sigs) in _groups(batches):
+        n, sig = np.array(n), _signatures(sigs)
+        total, nearest = np.zeros(len(n)), set()
+        for i in range(len(n)):
+            agree = (sig == sig[i]).sum(axis=1).astype(float)
+            total[i] = agree.sum()
+            agree[~_plausible(agree, n[i], n)] = -1
+            agree[i] = -1
+            if agree.max() >= 0:
+                nearest.add(tuple(sorted((i, int(agree.argmax())))))
+        hub = int(total.argmax())
+        for x, y, w in [(ids[hub], None, total[hub] / len(n)), *((ids[i], ids[j], 0.0) for i, j in nearest)]:
+            buckets.append(bucket[0]), a.append(x), b.append(y), weights.append(w)
+        if len(a) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((buckets, a, b, weights), schema.types, strict=True)], schema=schema)
+            buckets, a, b, weights = [], [], [], []
+    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((buckets, a, b, weights), schema.types, strict=True)], schema=schema)
+
+
+def _cross(n, sig, side, comp, common) -> Iterator[tuple[int, np.ndarray]]:
+    """Member and later members of other components (and of the other block, where two meet) that
+    it can be linked with. ``common`` is how many shingles a class shares with the bucket's
+    hub: two classes share at most what both can inside the hub's set and outside it."""
+    numbers = {c: k for k, c in enumerate(set(comp))}
+    comp, n, side, common = np.array([numbers[c] for c in comp]), np.array(n), np.array(side, dtype=bool), np.array(common)
+    two = side.any() and not side.all()
     for i in range(len(n) - 1):
-        rest = slice(i + 1, None)
-        other = comp[rest] != comp[i]
-        if two:
-            other &= side[rest] != side[i]
-        j = np.flatnonzero(other)
+        j = np.flatnonzero((comp[i + 1:] != comp[i]) & (side[i + 1:] != side[i] if two else True)) + i + 1
+        most = np.minimum(common[j], common[i]) + np.minimum(n[j] - common[j], n[i] - common[i])
+        j = j[100 * most >= PERCENT * (n[j] + n[i] - most)]
+        j = j[_plausible((sig[j] == sig[i]).sum(axis=1), n[i], n[j])]
         if len(j):
-            j += i + 1
-            j = j[_plausible((sig[j] == sig[i]).sum(axis=1), n[i], n[j])]
-            out |= {(i, k) for k in j.tolist()}
-    return out
-
-
-def bucket_pairs(choose):
-    """mapInArrow over rows sorted by group -> a, b (class ids, a < b)."""
-
-    def emit(rows: list, out_a: list, out_b: list) -> None:
-        if len(rows) < 2:
-            return
-        ids = [r[1] for r in rows]
-        n = np.array([r[2] for r in rows])
-        sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), BINS)
-        side = np.array([r[4] for r in rows], dtype=bool)
-        comps = {c: k for k, c in enumerate({r[5] for r in rows})}
-        comp = np.array([comps[r[5]] for r in rows])
-        for i, j in choose(n, sig, side, comp):
-            a, b = ids[i], ids[j]
-            out_a.append(min(a, b)), out_b.append(max(a, b))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows, a, b = None, [], [], []
-        for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if row[0] != group:
-                    emit(rows, a, b)
-                    group, rows = row[0], []
-                rows.append(row)
-            if len(a) > 10_000:
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-                a, b = [], []
-        emit(rows, a, b)
-        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    return run
-
-
-def candidates(members: DataFrame, classes: DataFrame, choose, across: bool) -> DataFrame:
-    """Candidate pairs of the buckets in ``members`` (bucket, class_id, size, comp). A bucket of
-    more than BLOCK members is dealt out by blocks; ``across``: and by pairs of blocks."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn(
-        "own", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
-    if across:
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    else:
-        dealt = dealt.withColumn("other", F.col("own"))
-    group = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
-    rows = (dealt.withColumn("grp", group).withColumn("side", F.col("own") > F.col("other"))
-            .join(classes.select("class_id", "n_shingles", "sig"), "class_id")
-            .select("grp", "class_id", "n_shingles", "sig", "side", "comp"))
-    return (rows.repartition("grp").sortWithinPartitions("grp")
-            .mapInArrow(bucket_pairs(choose), "a binary, b binary").distinct())
-
-
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold."""
-    needed = (pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-              .join(classes, "class_id").select("class_id", "rep"))
+            yield i, j
+
+
+CROSS = "grp long, class_id binary, n_shingles long, sig binary, side boolean, comp binary, common long"
+
+
+def plausible_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of CROSS sorted by group -> those with a plausible link across components."""
+    types = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.int64()]
+    names = [c.split()[0] for c in CROSS.split(", ")]
+    rows: list[tuple] = []
+    batch = lambda: pa.RecordBatch.from_arrays(
+        [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
+    for group, columns in _groups(batches):
+        ids, n, sigs, side, comp, common = columns
+        keep = set()
+        for i, j in _cross(n, _signatures(sigs), side, comp, common):
+            keep |= {i, *j.tolist()}
+        rows += [(group, *[c[k] for c in columns]) for k in sorted(keep)]
+        if len(rows) > 5_000:
+            yield batch()
+            rows = []
+    yield batch()
+
+
+def cross_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of CROSS and shingles, sorted by group -> a, b: links across components, as many as
+    join what is linked (a forest, not every link)."""
+    a, b = [], []
+    for _, (ids, n, sigs, side, comp, common, shingles) in _groups(batches):
+        sets = [np.array(x, dtype=np.int64) for x in shingles]
+        starts = np.cumsum([0, *map(len, sets)])
+        _, every = np.unique(np.concatenate(sets), return_inverse=True)
+        mark = np.zeros(every.max() + 1, dtype=bool)
+        root = {c: c for c in comp}
+
+        def find(c, root=root):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        for i, js in _cross(n, _signatures(sigs), side, comp, common):
+            mine = every[starts[i]:starts[i + 1]]
+            mark[mine] = True
+            for j in js.tolist():
+                if find(comp[i]) != find(comp[j]):
+                    shared = int(mark[every[starts[j]:starts[j + 1]]].sum())
+                    if 100 * shared >= PERCENT * (len(sets[i]) + len(sets[j]) - shared):
+                        root[find(comp[i])] = find(comp[j])
+                        a.append(min(ids[i], ids[j])), b.append(max(ids[i], ids[j]))
+            mark[mine] = False
+    yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """class_id, shingles (the full set) of the classes in ``ids`` (class_id, repeats allowed)."""
+    needed = ids.distinct().join(classes, "class_id").select("class_id", "rep")
     texts = docs.select("doc_id", "text").join(needed, F.col("doc_id").eqNullSafe(F.col("rep")))
-    sets = written(texts.select("class_id", "text")
+    return written(texts.select("class_id", "text")
                    .mapInArrow(shingle_sets, "class_id binary, shingles array<bigint>"), "minhash-sets")
+
+
+def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """a, b, common (shingles that both full sets hold), linked."""
+    sets = sets_of(pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")), classes, docs)
     both = (pairs.join(sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("y")), "b"))
-    common = F.size(F.array_intersect("x", "y"))
-    union = F.size("x") + F.size("y") - common
-    return written(both.filter(100 * common >= PERCENT * union).select("a", "b").distinct(), "minhash-links")
+            .join(sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("y")), "b")
+            .select("a", "b", F.size("x").alias("na"), F.size("y").alias("nb"),
+                    F.size(F.array_intersect("x", "y")).alias("common")))
+    return written(both.select("a", "b", "common", (100 * F.col("common") >= PERCENT * (
+        F.col("na") + F.col("nb") - F.col("common"))).alias("linked")).distinct(), "minhash-compared")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -232,6 +264,54 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def all_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """a, b of the links that connect the classes: stars first, then what a star can miss."""
+    rows = classes.select("class_id", F.explode("bands").alias("bucket"))
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = written(rows.join(sizes, "bucket")
+                      .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+                      .withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")),
+                      "minhash-members")
+    sketched = classes.select("class_id", "n_shingles", "sig")
+    found = written(
+        members.join(sketched, "class_id")
+        .select(F.xxhash64("bucket", "own").alias("grp"), "bucket", "class_id", "n_shingles", "sig")
+        .repartition("grp").sortWithinPartitions("grp")
+        .mapInArrow(hubs_and_nearest, "bucket long, a binary, b binary, weight double"), "minhash-hubs")
+    hubs = (found.filter("b IS NULL").groupBy("bucket")
+            .agg(F.max(F.struct("weight", F.col("a").alias("hub"))).getField("hub").alias("hub")))
+    stars = members.join(hubs, "bucket").select(
+        "bucket", "class_id", "blocks", "own", F.least("class_id", "hub").alias("a"), F.greatest("class_id", "hub").alias("b"))
+    stars = written(stars, "minhash-stars")
+    pairs = stars.select("a", "b").filter("a != b").union(
+        found.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    first = compared(pairs, classes, docs)
+    links = first.filter("linked").select("a", "b")
+
+    comps = components(links)
+    labelled = written(stars.join(comps, stars["class_id"] == comps["node"], "left").select(
+        "bucket", "class_id", "blocks", "own", "a", "b", F.coalesce("comp", "class_id").alias("comp")), "minhash-labelled")
+    unsettled = (labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                 .filter("lo != hi").select("bucket"))
+    # a large bucket is dealt out by pairs of its blocks
+    dealt = (labelled.join(unsettled, "bucket", "left_semi")
+             .join(first.select("a", "b", "common"), ["a", "b"], "left")
+             .join(sketched, "class_id")
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    rest = written(
+        dealt.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("grp"),
+                     "class_id", "n_shingles", "sig", (F.col("own") > F.col("other")).alias("side"), "comp",
+                     F.coalesce(F.col("common"), F.col("n_shingles")).cast("long").alias("common"))
+        .repartition("grp").sortWithinPartitions("grp").mapInArrow(plausible_members, CROSS), "minhash-rest")
+    if rest.isEmpty():
+        return links
+    sets = sets_of(rest.select("class_id"), classes, docs)
+    more = written(rest.join(sets, "class_id").select(*rest.columns, "shingles")
+                   .repartition("grp").sortWithinPartitions("grp").mapInArrow(cross_links, "a binary, b binary"),
+                   "minhash-more")
+    return links.union(more)
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -249,25 +329,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     classes = written(filled.groupBy("class_id").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"),
         F.first("bands").alias("bands")), "minhash-classes")
-    rows = classes.select("class_id", F.explode("bands").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = written(rows.join(sizes, "bucket"), "minhash-members")
-
-    def label(comps: DataFrame | None) -> DataFrame:
-        if comps is None:
-            return members.withColumn("comp", F.col("class_id"))
-        return (members.join(comps, members["class_id"] == comps["node"], "left")
-                .select("bucket", "class_id", "size", F.coalesce("comp", "class_id").alias("comp")))
-
-    first = written(candidates(label(None), classes, star_pairs, False), "minhash-stars")
-    links = confirmed(first, classes, docs)
-    labelled = written(label(components(links)), "minhash-labelled")
-    open_buckets = (labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                    .filter("lo != hi").select("bucket"))
-    rest = written(candidates(labelled.join(open_buckets, "bucket", "left_semi"), classes, cross_pairs, True)
-                   .join(first, ["a", "b"], "left_anti"), "minhash-rest")
-    if not rest.isEmpty():
-        links = links.union(confirmed(rest, classes, docs))
+    links = all_links(classes, docs)
     comps = components(links)
     smallest = written(
         classes.join(comps, classes["class_id"] == comps["node"], "left")
