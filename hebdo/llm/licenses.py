@@ -84,7 +84,8 @@ class Scanner:
             steps = difflib.SequenceMatcher(None, want, have, autojunk=False).get_opcodes()
             missing = [w for tag, a, b, _, _ in steps if tag in ("delete", "replace") for w in want[a:b]]
             added = [w for tag, _, _, a, b in steps if tag in ("insert", "replace") for w in have[a:b]]
-            if len(missing) > (1 - MIN_FOUND) * len(want) or len(added) > MAX_ADDED * len(want):
+            spare = 1 if len(want) >= 5 else 0  # one word of a short notice may differ
+            if len(missing) > max(spare, (1 - MIN_FOUND) * len(want)) or len(added) > MAX_ADDED * len(want):
                 continue
             rank = (len(missing) + len(added), -len(want), -k)
             if best is None or rank < best[0]:
@@ -92,8 +93,8 @@ class Scanner:
         return best and best[1]
 
     def scan(self, text: str) -> list[dict]:
-        """Notices of a text: first and last line (from 0), license, words missing and added. A
-        notice that spans a paragraph hides those of its single lines for the same license."""
+        """Notices of a text: first and last line (from 0), license, words missing and added. Of a
+        paragraph and its single lines, the one that differs less is reported for a license."""
         lines, hits, begin = text.split("\n"), [], 0
         for end in range(len(lines) + 1):
             if end < len(lines) and lines[end].strip():
@@ -103,19 +104,23 @@ class Scanner:
             cued = [k for k in paragraph if self.cue.search(lines[k])]
             if not cued:
                 continue
+            single = [(k, k, found) for k in cued for found in map(self.judge, self.stretches(lines[k])) if found]
             whole = None
             if len(paragraph) > 1 and sum(len(lines[k]) for k in paragraph) < 20 * STRETCH_WORDS:
                 whole = self.judge("\n".join(lines[k] for k in paragraph))
-                if whole:
-                    hits.append((paragraph[0], paragraph[-1], whole))
-            for k in cued:
-                for found in {s: f for s in self.stretches(lines[k]) if (f := self.judge(s))}.values():
-                    if not whole or found[0] != whole[0]:
-                        hits.append((k, k, found))
+            if whole:
+                differ = lambda found: len(found[2]) + len(found[3])
+                same = [differ(found) for _, _, found in single if found[0] == whole[0]]
+                if not same or differ(whole) < min(same):
+                    single = [(paragraph[0], paragraph[-1], whole)] + [x for x in single if x[2][0] != whole[0]]
+            hits += single
         out = {}
         for first, last, (name, shrinkage, missing, added) in hits:
-            out.setdefault((first, last, name), {"first_line": first, "last_line": last, "license": name,
-                                                 "shrinkage": shrinkage, "missing": missing, "added": added})
+            now = {"first_line": first, "last_line": last, "license": name,
+                   "shrinkage": shrinkage, "missing": missing, "added": added}
+            old = out.setdefault((first, last, name), now)
+            if len(missing) + len(added) < len(old["missing"]) + len(old["added"]):
+                out[first, last, name] = now
         return list(out.values())
 
     def stretches(self, line: str) -> Iterator[str]:

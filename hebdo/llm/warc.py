@@ -161,7 +161,9 @@ class WarcReader(DataSourceReader):
         return [_Stretch(f.path, at, min(at + self.stretch, f.size)) for f in sorted(files, key=lambda f: f.path)
                 for at in range(0, f.size, self.stretch)]
 
-    def read(self, partition: _Stretch) -> Iterator[tuple]:
+    def read(self, partition: _Stretch | None) -> Iterator[tuple]:
+        if partition is None:  # no bytes to read
+            return
         fs, _ = _file_system(self.path)
         with fs.open_input_file(partition.path) as f:
             at = _first_record(f, partition.start, partition.end)
