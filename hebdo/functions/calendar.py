@@ -6,8 +6,6 @@ re-encoding gives it back (e.g. 202553 is not: 2025 has 52 ISO weeks).
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,32 +78,8 @@ def clip_month_window(month_start: Column, start, end) -> tuple[Column, Column]:
     return ws, we
 
 
-# ---- driver-side parameter helpers (validate job arguments; no data passes through) ----
-
-def parse_date(text: str, what: str = "date") -> _dt.date:
-    try:
-        return _dt.date.fromisoformat(text.strip())
-    except (AttributeError, ValueError) as exc:
-        raise ValueError(f"Invalid {what}: {text!r}") from exc
-
-
-def resolve_range(start: str, end: str | None = None, align_monday: bool = False,
-                  today: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
-    """Inclusive (start, end) of a job run; ``end`` defaults to today; end < start is an error."""
-    if not start or not str(start).strip():
-        raise ValueError("start date must be provided")
-    s = parse_date(start, "start date")
-    e = parse_date(end, "end date") if end and str(end).strip() else (today or _dt.date.today())
-    if align_monday:
-        s = s - _dt.timedelta(days=s.weekday())
-        e = e - _dt.timedelta(days=e.weekday())
-    if e < s:
-        raise ValueError("end date cannot be before start date")
-    return s, e
-
-
 def resolve_range_cols(start: Column, end: Column, align_monday: bool) -> tuple[Column, Column, Column]:
-    """Column form of :func:`resolve_range` for ranges stored in a table.
+    """Run ranges stored in a table.
 
     Returns (start, end, status); NULL end means today; status is OK, INVALID_START,
     INVALID_END or END_BEFORE_START."""

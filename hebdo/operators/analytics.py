@@ -38,17 +38,11 @@ def latest_date(df: DataFrame, key: str = "date") -> DataFrame:
     return df.agg(F.max(key).alias("latest_date"))
 
 
-def stable_round(c: Column, digits: int) -> Column:
-    """Half-up decimal rounding that treats values within float noise of a tie as the tie
-    (rounds to 9 places first), so the result does not depend on summation order."""
-    return F.round(F.round(c, 9), digits)
-
-
 def season_means(gold: DataFrame, digits: int = 2) -> DataFrame:
     agg = gold.groupBy("season").agg(
-        stable_round(F.avg("illness_rate"), digits).alias("avg_illness_rate"),
-        stable_round(F.avg("pm25_avg"), digits).alias("avg_pm25"),
-        stable_round(F.avg("temp_avg_celsius"), digits).alias("avg_temp"))
+        F.round(F.avg("illness_rate"), digits).alias("avg_illness_rate"),
+        F.round(F.avg("pm25_avg"), digits).alias("avg_pm25"),
+        F.round(F.avg("temp_avg_celsius"), digits).alias("avg_temp"))
     return agg.orderBy(flags.season_rank(F.col("season")))
 
 

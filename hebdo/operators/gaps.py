@@ -26,16 +26,6 @@ def existing_keys(df: DataFrame, key: str, start, end, entity_col: str | None =
     return out.distinct() if distinct else out
 
 
-def existing_keys_sql(spark: SparkSession, table: str, entity_col: str, key: str,
-                      entity, start, end, distinct: bool = True) -> DataFrame:
-    """Same as :func:`existing_keys` through SQL with bound parameters (no string splicing)."""
-    d = "DISTINCT " if distinct else ""
-    return spark.sql(
-        f"SELECT {d}{entity_col}, {key} FROM {table} "
-        f"WHERE {entity_col} = :entity AND {key} BETWEEN :start AND :end",
-        args={"entity": entity, "start": start, "end": end})
-
-
 def existing_keys_sql_range(spark: SparkSession, table: str, entity_cols: list[str], key: str,
                             start, end) -> DataFrame:
     """Loaded (entity..., key) of every entity within [start, end], with bound parameters."""

@@ -4,13 +4,14 @@ Semantics kept from the warehouse MERGE: a matched target row takes every update
 from the source, *also NULLs* (never ``coalesce(source, target)``); unmatched source rows are
 inserted; source rows with a NULL key are skipped; two source rows for one key are an error.
 
-Plan: when every non-key column is updated, the new state is
-``target ▷ source-keys  ∪  source`` - an anti join (shuffle on the keys; AQE splits a skewed
-key range) and a union, no full outer join. Partial updates use a full outer join.
+Plan: the source is reduced by key once (an aggregate that also fails on a second row of a
+key) and meets the target in one full outer join on the natural key, so it is evaluated once.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,50 +65,50 @@ def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def check_unique(source: DataFrame, keys: list[str]) -> None:
-    dups = duplicate_keys(source, keys).limit(5).collect()  # at most 5 rows to the driver
-    if dups:
-        raise DuplicateSourceKeys(f"source has several rows for keys {keys}: {dups}")
+    """Fail if a key has several rows (with the number of such keys and one of them)."""
+    found = duplicate_keys(source, keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*keys)).alias("key")).first()
+    if found["n"]:
+        raise DuplicateSourceKeys(f"source has several rows for {found['n']} keys {keys}, such as {tuple(found['key'])}")
+
+
+def with_keys(source: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows that a merge takes: every key present."""
+    return source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+
+
+def one_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., _row): the other columns as a struct; a second row of a key fails the job when
+    the row is read. Rows with a NULL key are skipped."""
+    names = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
+    others = F.struct(*[F.col(c) for c in source.columns if c not in keys], F.lit(True).alias("_hit"))
+    return (with_keys(source, keys).groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_n"), F.first(others).alias("_row"))
+            .select(*keys, F.when(F.col("_n") == 1, F.col("_row")).otherwise(
+                F.raise_error(F.concat(F.lit("source has several rows for key "), names))).alias("_row")))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
-           update_cols: list[str] | None = None, stamp: dict[str, Column] | None = None,
-           validate: bool = True) -> DataFrame:
+           update_cols: list[str] | None = None, stamp: dict[str, Column] | None = None) -> DataFrame:
     """New state of ``target`` after merging ``source`` on ``keys``.
 
     ``update_cols`` defaults to every non-key column of the target; ``stamp`` sets columns on
-    both updated and inserted rows (e.g. ``inserted_at = current_timestamp()``)."""
-    key_ok = None
-    for k in keys:
-        cond = F.col(k).isNotNull()
-        key_ok = cond if key_ok is None else key_ok & cond
-    src = source.filter(key_ok)
-    if validate:
-        check_unique(src, keys)
+    updated and inserted rows (e.g. ``inserted_at = current_timestamp()``). A stamp column that
+    the target lacks is added, NULL on the rows that the merge leaves alone."""
     stamp = stamp or {}
-    for name, value in stamp.items():
-        src = src.withColumn(name, value)
-    non_key = [c for c in target.columns if c not in keys]
-    update_cols = list(non_key if update_cols is None else update_cols) + [
-        c for c in stamp if c not in (update_cols or non_key)]
-    if set(non_key) <= set(update_cols):
-        for c in target.columns:
-            if c not in src.columns:
-                src = src.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
-        kept = target.join(src.select(*keys), keys, "left_anti")
-        return kept.unionByName(src.select(*target.columns))
-    # partial update: keep target values for the columns that are not updated
-    t = target.alias("t")
-    s = src.withColumn("_matched", F.lit(True)).alias("s")
-    j = t.join(s, keys, "full_outer")
-    out = []
-    for c in target.columns:
-        if c in keys:
-            out.append(F.col(c))
-        elif c in update_cols:
-            out.append(F.when(F.col("s._matched"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-        else:
-            out.append(F.col(f"t.{c}").alias(c))
-    return j.select(*out)
+    have = target.columns
+    update = set(have if update_cols is None else update_cols) | set(stamp)
+    src = source.withColumns(stamp) if stamp else source
+    joined = target.alias("t").join(one_row_per_key(src, keys).alias("s"), keys, "full_outer")
+    hit = F.coalesce(F.col("s._row._hit"), F.lit(False))
+    out = [F.col(k) for k in keys]
+    for c in [c for c in (*have, *[n for n in stamp if n not in have]) if c not in keys]:
+        old = F.col(f"t.{c}") if c in have else F.lit(None)
+        new = F.col(f"s._row.{c}") if c in src.columns else F.lit(None)
+        if c in have and c in src.columns:
+            new = new.cast(target.schema[c].dataType)
+        out.append((F.when(hit, new).otherwise(old) if c in update else old).alias(c))
+    order = [c for c in (*have, *[n for n in stamp if n not in have])]
+    return joined.select(*out).select(*order)
 
 
 def merge_counts(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -138,67 +139,101 @@ def write_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys:
     """Merge ``source`` into the Parquet table at ``target_path`` (partitioned by
     ``partition_col``), rewriting only the partitions the source touches.
 
-    The target cannot be overwritten while it is read, so the new state of the touched
-    partitions is first written to a staging folder under the shared checkpoint root, then
-    swapped in with dynamic partition overwrite. Both steps are plain file writes, so a lost
-    executor only re-runs its tasks. ``cluster_by`` sorts rows within each written file so
-    Parquet row-group min/max statistics prune reads on those columns. Returns the number of
-    source rows merged."""
+    The touched partition values (bounded by the calendar) filter the target's scan, so only
+    their files are read. Their new state is written to ``<target>__pending`` first; once that
+    is whole it replaces the partitions, and then it is removed. A run that finds a whole pending
+    folder finishes the replacement before anything else, so a crash at any point loses nothing.
+    ``cluster_by`` sorts rows within each written file so Parquet row-group statistics prune reads
+    on those columns. Returns the number of rows merged (rows with a NULL key are skipped)."""
     order = [partition_col, *(cluster_by or [])]
-    source = stage(source, "merge-source")
-    n = source.count()
-    if n == 0:
-        raise ValueError("empty merge source: nothing to upsert")
-    if not _path_exists(spark, target_path):
-        # first load: the merge into an empty table inserts every source row
-        empty = source.limit(0)
-        first = upsert(empty, source, keys, stamp=stamp).sortWithinPartitions(*order)
-        first.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
-        return n
-    target = spark.read.parquet(target_path)
-    touched = source.select(partition_col).distinct()
-    # semi join on the partition column lets dynamic partition pruning skip untouched files
-    target_part = target.join(touched, partition_col, "left_semi")
-    new_state = upsert(target_part, source, keys, stamp=stamp).sortWithinPartitions(*order)
-    staging = scratch_path(spark, "staging", unique_suffix())
-    new_state.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    (spark.read.parquet(staging).select(*target.columns)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(target_path))
-    return n
-
-
-BUCKET_COL = "_bucket"
+    finish_pending(spark, target_path, partition_col)
+    staging = scratch_path(spark, "staging", f"merge-source-{unique_suffix()}")
+    with_keys(source, keys).write.parquet(staging)
+    staged = spark.read.schema(source.schema).parquet(staging)
+    try:
+        per_partition = staged.groupBy(partition_col).count().collect()  # one row per calendar month or year
+        merged = sum(r["count"] for r in per_partition)
+        if merged == 0:
+            return 0
+        if _path_exists(spark, target_path):
+            target = spark.read.parquet(target_path).filter(F.col(partition_col).isin([r[0] for r in per_partition]))
+        else:  # first load: the merge into an empty table inserts every source row
+            target = staged.limit(0)
+        check_unique(staged, keys)
+        new_state = upsert(target, staged, keys, stamp=stamp).sortWithinPartitions(*order)
+        # a static write: only that leaves _SUCCESS in the folder
+        (new_state.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(partition_col).parquet(pending_path(target_path)))
+        finish_pending(spark, target_path, partition_col)
+        return merged
+    finally:
+        remove_path(spark, staging)
+
+
+def pending_path(target_path: str) -> str:
+    return target_path.rstrip("/") + "__pending"
+
+
+def finish_pending(spark: SparkSession, target_path: str, partition_col: str) -> None:
+    """Put a whole pending folder in place (again, if a run died while doing so); an unfinished
+    one is only removed. The folder's ``_SUCCESS`` file, which Spark writes last, tells which."""
+    pending = pending_path(target_path)
+    if not _path_exists(spark, pending):
+        return
+    if _path_exists(spark, f"{pending}/_SUCCESS"):
+        (spark.read.parquet(pending).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(target_path))
+    remove_path(spark, pending)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def merge_latest(spark: SparkSession, state_path: str, batch: DataFrame, keys: list[str],
-                 rank: list[Column], buckets: int, staging_path: str) -> None:
-    """Fold ``batch`` into the keyed state table at ``state_path`` keeping the latest row per
-    key, rewriting only the hash buckets the batch touches.
-
-    The state is partitioned by ``pmod(xxhash64(keys), buckets)``; the touched bucket ids
-    (at most ``buckets`` small ints) prune the state read, the new content of those buckets
-    is staged in the shared folder and then swapped in with dynamic partition overwrite.
-    Re-running the same batch gives the same state (latest of the same rows), so a replay
-    after a failure at any point is safe."""
-    b = batch.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
-    try:
-        touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]
-        if not touched:
-            return
-        rows = b
-        if _path_exists(spark, state_path):
-            state = spark.read.parquet(state_path).filter(F.col(BUCKET_COL).isin(touched))
-            rows = state.unionByName(b.select(*state.columns))
-        new = latest_by(rows, [*keys, BUCKET_COL], rank)
-        new.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging_path)
-        (spark.read.parquet(staging_path).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(state_path))
-    finally:
-        b.unpersist()
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str | None) -> None:
+    if path:
+        fs, p = _file_system(spark, path)
+        fs.delete(p, True)
+
+
+# ---------------------------------------------------------------------------------------
+# State of a stream: what each micro-batch adds, one folder per batch, and a compacted base.
+
+COMPACT_AFTER = 32  # batch folders before they are folded into a new base
+
+
+def batch_folders(spark: SparkSession, state_path: str) -> tuple[int, list[int]]:
+    """(last batch of the newest whole base, or -1; whole batch folders after it)."""
+    fs, p = _file_system(spark, state_path)
+    if not fs.exists(p):
+        return -1, []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    whole = [n for n in names if _path_exists(spark, f"{state_path}/{n}/_SUCCESS")]
+    base = max([int(n[5:]) for n in whole if n.startswith("base=")], default=-1)
+    return base, sorted(int(n[6:]) for n in whole if n.startswith("batch=") and int(n[6:]) > base)
+
+
+def read_state(spark: SparkSession, state_path: str, reduce_rows) -> DataFrame:
+    """The state: ``reduce_rows`` over the base and the batches after it."""
+    base, batches = batch_folders(spark, state_path)
+    paths = [f"{state_path}/base={base}"] * (base >= 0) + [f"{state_path}/batch={b}" for b in batches]
+    return reduce_rows(reduce(DataFrame.unionByName, [spark.read.parquet(x) for x in paths]))
+
+
+def add_batch(spark: SparkSession, state_path: str, batch: DataFrame, batch_id: int, reduce_rows) -> None:
+    """Write what a micro-batch adds, reduced, as its own folder: only the batch's rows are
+    written. A replay overwrites the same folder. After ``COMPACT_AFTER`` folders they are folded
+    into a new base, which counts once it is whole; only then older folders go."""
+    reduce_rows(batch).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
+    base, batches = batch_folders(spark, state_path)
+    if len(batches) <= COMPACT_AFTER:
+        return
+    read_state(spark, state_path, reduce_rows).write.mode("overwrite").parquet(f"{state_path}/base={batches[-1]}")
+    for name in [f"batch={b}" for b in batches] + [f"base={base}"] * (base >= 0):
+        remove_path(spark, f"{state_path}/{name}")

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from hebdo.operators import analytics, gold, silver
 from hebdo.operators.jobs import run_steps
-from hebdo.plans.parity import grid_sql, on_grid
-from hebdo.plans.q_layers import GOLD_CTES, GOLD_DOUBLES, _oracle, raw_tables
+from hebdo.plans.parity import on_grid
+from hebdo.plans.q_layers import GOLD_CTES, GOLD_SUMS, _oracle, raw_tables
 from hebdo.plans.registry import query
 from hebdo.session import unique_suffix
 from hebdo.sources import tables as T
@@ -25,11 +25,11 @@ def _layer(spark, name):
     return db
 
 
-@query("ensure_table_evolution", with_fixtures(grid_sql("""
+@query("ensure_table_evolution", with_fixtures("""
 SELECT date, region_label, point_id, lat, lon, temp_min, temp_max, temp_mean,
   CASE WHEN extract(DAY FROM date) > 20 THEN 'landing' END AS source_url,
   CASE WHEN extract(DAY FROM date) > 20 THEN CAST(date_trunc('month', date) AS DATE) END AS chunk_start
-FROM fx_raw_weather""", ["lat", "lon", "temp_min", "temp_max", "temp_mean"]), "fx_raw_weather"))
+FROM fx_raw_weather""", "fx_raw_weather"))
 def q_ensure_table_evolution(spark, sf_dir):
     """Create the raw weather table, load part of it, add two columns, load the rest."""
     _, we, _ = raw_tables(spark, sf_dir)
@@ -44,10 +44,10 @@ def q_ensure_table_evolution(spark, sf_dir):
     rest = we.filter(F.dayofmonth("date") > 20).withColumn("source_url", F.lit("landing")) \
         .withColumn("chunk_start", F.trunc("date", "month"))
     T.append(rest, name)
-    return on_grid(spark.table(name))
+    return spark.table(name)
 
 
-@query("ctas_rebuild", _oracle(GOLD_CTES, "SELECT * FROM gold", GOLD_DOUBLES))
+@query("ctas_rebuild", _oracle(GOLD_CTES, "SELECT * FROM features", GOLD_SUMS))
 def q_ctas_rebuild(spark, sf_dir):
     """Silver and gold written as tables, then gold rebuilt from itself (staged swap)."""
     pm, we, fl = raw_tables(spark, sf_dir)
@@ -60,12 +60,21 @@ def q_ctas_rebuild(spark, sf_dir):
     T.create_or_replace_table(g, f"{gdb}.features", comment="weekly features (first)")
     T.create_or_replace_table(spark.table(f"{gdb}.features"), f"{gdb}.features",
                               comment="weekly features")
-    return on_grid(spark.table(f"{gdb}.features").drop("processed_at"))
+    return on_grid(spark.table(f"{gdb}.features").drop("processed_at"), GOLD_SUMS)
 
 
-@query("job_status")
+@query("job_status", _oracle(GOLD_CTES, """
+SELECT 'silver_pm25' AS step, true AS ok, (SELECT count(*) FROM pm25_good) AS rows
+UNION ALL SELECT 'silver_weather', true, (SELECT count(*) FROM weather_good)
+UNION ALL SELECT 'silver_flu', true, (SELECT count(*) FROM flu_good)
+UNION ALL SELECT 'gold', true, (SELECT count(*) FROM features)
+UNION ALL SELECT 'verify', true, 1
+UNION ALL SELECT 'fails', false, NULL
+UNION ALL SELECT 'after_failure', true, (SELECT count(*) FROM pm25_good)
+UNION ALL SELECT 'verify_after_failure', false, NULL"""))
 def q_job_status(spark, sf_dir):
-    """Silver x3 -> gold -> verification as steps; returns (step, ok, rows)."""
+    """Silver x3 -> gold -> verification as steps, then a step that fails, one that still runs and
+    a verification that is skipped; returns (step, ok, rows)."""
     pm, we, fl = raw_tables(spark, sf_dir)
     sdb, gdb = _layer(spark, "silver"), _layer(spark, "gold")
 
@@ -83,6 +92,10 @@ def q_job_status(spark, sf_dir):
                                                spark.table(f"{sdb}.weather"), cutoff=GOLD_CUTOFF),
                        f"{gdb}.features")),
         ("verify", write(lambda: analytics.verify_output(spark.table(f"{gdb}.features")),
-                         f"{gdb}.verification")),
+                         f"{gdb}.verification"), True),
+        ("fails", write(lambda: spark.table(f"{gdb}.no_such_table"), f"{gdb}.nothing")),
+        ("after_failure", write(lambda: spark.table(f"{sdb}.pm25"), f"{gdb}.pm25_copy")),
+        ("verify_after_failure", write(lambda: analytics.verify_output(spark.table(f"{gdb}.features")),
+                                       f"{gdb}.verification"), True),
     ]
     return run_steps(spark, steps).select("step", "ok", "rows")

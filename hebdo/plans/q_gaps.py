@@ -20,26 +20,29 @@ SMALL_CHUNK_WEEKS = 4  # second size used by week_chunks, so that islands are sp
 
 
 def _days(spark, sf_dir):
+    """Loaded (point, day) keys of the run range."""
     apply_engine_conf(spark)
-    return fixture(spark, sf_dir, "fx_existing_days")
+    return gaps.existing_keys(fixture(spark, sf_dir, "fx_existing_days"), "date", RUN_START, RUN_END, "point_id")
 
 
 def _weeks(spark, sf_dir):
+    """Loaded (region, week) keys of the run range."""
     apply_engine_conf(spark)
-    return fixture(spark, sf_dir, "fx_existing_weeks")
+    return gaps.existing_keys(fixture(spark, sf_dir, "fx_existing_weeks"), "week_start",
+                              cal.monday(RUN_START), RUN_END, "region")
 
 
-def _point_ranges(existing):
-    """Control dimension: every point seen, with the run range."""
-    return existing.select("point_id").distinct().select(
-        "point_id", F.lit(RUN_START).cast("date").alias("start"),
-        F.lit(RUN_END).cast("date").alias("end"))
+def _run_range(entities):
+    return entities.select("*", F.lit(RUN_START).cast("date").alias("start"), F.lit(RUN_END).cast("date").alias("end"))
 
 
-def _region_ranges(existing):
-    return existing.select("region").distinct().select(
-        "region", F.lit(RUN_START).cast("date").alias("start"),
-        F.lit(RUN_END).cast("date").alias("end"))
+def _point_ranges(spark, sf_dir):
+    """The control dimension of points, with the run range."""
+    return _run_range(fixture(spark, sf_dir, "fx_points"))
+
+
+def _region_ranges(spark, sf_dir):
+    return _run_range(fixture(spark, sf_dir, "fx_regions"))
 
 
 # ---- oracle pieces (islands by start/end detection, independent of the row_number trick)
@@ -57,7 +60,7 @@ def _islands_sql(src: str, part: list[str], key: str, step: int, out: str) -> st
     GROUP BY {sel_s}, s.range_start)"""
 
 
-DAY_MISSING = f"""pts AS (SELECT DISTINCT point_id FROM fx_existing_days),
+DAY_MISSING = f"""pts AS (SELECT point_id FROM fx_points),
   spine AS (SELECT point_id, CAST(unnest(generate_series(DATE '{RUN_START}', DATE '{RUN_END}', INTERVAL 1 DAY)) AS DATE) AS date FROM pts),
   missing AS (SELECT s.point_id, s.date FROM spine s
     WHERE NOT EXISTS (SELECT 1 FROM fx_existing_days x WHERE x.point_id = s.point_id AND x.date = s.date
@@ -65,26 +68,27 @@ DAY_MISSING = f"""pts AS (SELECT DISTINCT point_id FROM fx_existing_days),
 
 
 @query("missing_dates", with_fixtures(f"WITH {DAY_MISSING} SELECT point_id, date FROM missing",
-                                     "fx_existing_days"))
+                                     "fx_existing_days", "fx_points"))
 def q_missing_dates(spark, sf_dir):
-    existing = _days(spark, sf_dir)
+    apply_engine_conf(spark)
+    fixture(spark, sf_dir, "fx_existing_days")
     # loaded keys of the run range, read through SQL with bound parameters
     loaded = gaps.existing_keys_sql_range(spark, "fx_existing_days", ["point_id"], "date",
                                           RUN_START, RUN_END)
-    spine = gaps.day_spine(_point_ranges(existing), ["point_id"])
+    spine = gaps.day_spine(_point_ranges(spark, sf_dir), ["point_id"])
     return gaps.missing_keys(spine, loaded, ["point_id", "date"])
 
 
 @query("date_islands", with_fixtures(
     "WITH " + _islands_sql("fx_existing_days", ["point_id"], "date", 1, "isl")
     + " SELECT point_id, range_start, range_end, CAST(range_end - range_start + 1 AS BIGINT) AS n_keys FROM isl",
-    "fx_existing_days"))
+    "fx_existing_days", "fx_points"))
 def q_date_islands(spark, sf_dir):
     """Contiguous runs of loaded days per point."""
     return gaps.islands(_days(spark, sf_dir), ["point_id"], "date", 1)
 
 
-_WIN_SPINE = f"""pts AS (SELECT DISTINCT point_id FROM fx_existing_days),
+_WIN_SPINE = f"""pts AS (SELECT point_id FROM fx_points),
   mon AS (SELECT point_id, CAST(unnest(generate_series(DATE '{RUN_START[:8]}01', DATE '{RUN_END}', INTERVAL 1 MONTH)) AS DATE) AS m FROM pts),
   win AS (SELECT point_id, greatest(m, DATE '{RUN_START}') AS window_start,
             least(CAST(last_day(m) AS DATE), DATE '{RUN_END}') AS window_end FROM mon),
@@ -97,22 +101,22 @@ _WIN_SPINE = f"""pts AS (SELECT DISTINCT point_id FROM fx_existing_days),
 @query("missing_date_ranges", with_fixtures(
     f"WITH {_WIN_SPINE}, "
     + _islands_sql("wmissing", ["point_id", "window_start", "window_end"], "date", 1, "isl")
-    + " SELECT *, CAST(range_end - range_start + 1 AS BIGINT) AS n_days FROM isl", "fx_existing_days"))
+    + " SELECT *, CAST(range_end - range_start + 1 AS BIGINT) AS n_days FROM isl", "fx_existing_days", "fx_points"))
 def q_missing_date_ranges(spark, sf_dir):
     existing = _days(spark, sf_dir)
-    return gaps.missing_date_ranges(_point_ranges(existing), existing, ["point_id"])
+    return gaps.missing_date_ranges(_point_ranges(spark, sf_dir), existing, ["point_id"])
 
 
 @query("week_islands", with_fixtures(
     "WITH " + _islands_sql("fx_existing_weeks", ["region"], "week_start", 7, "isl")
     + " SELECT region, range_start, range_end, CAST((range_end - range_start) // 7 + 1 AS BIGINT) AS n_keys FROM isl",
-    "fx_existing_weeks"))
+    "fx_existing_weeks", "fx_regions"))
 def q_week_islands(spark, sf_dir):
     """Contiguous runs of loaded ISO weeks per region (consecutive across year ends)."""
     return gaps.islands(_weeks(spark, sf_dir), ["region"], "week_start", 7)
 
 
-WEEK_MISSING = f"""regs AS (SELECT DISTINCT region FROM fx_existing_weeks),
+WEEK_MISSING = f"""regs AS (SELECT region FROM fx_regions),
   wspine AS (SELECT region, CAST(unnest(generate_series(CAST(date_trunc('week', DATE '{RUN_START}') AS DATE),
               CAST(date_trunc('week', DATE '{RUN_END}') AS DATE), INTERVAL 7 DAY)) AS DATE) AS week_start FROM regs),
   wmissing AS (SELECT * FROM wspine s WHERE NOT EXISTS
@@ -133,11 +137,11 @@ def _chunks_sql(src: str, n: int) -> str:
     + ", " + _chunks_sql("isl", SMALL_CHUNK_WEEKS)
     + " SELECT region, range_start, range_end, chunk_start, chunk_end, "
       "CAST((chunk_end - chunk_start) // 7 + 1 AS BIGINT) AS chunk_weeks FROM chunks",
-    "fx_existing_weeks"))
+    "fx_existing_weeks", "fx_regions"))
 def q_week_chunks(spark, sf_dir):
     """Missing-week islands split into chunks of at most 4 weeks."""
     existing = _weeks(spark, sf_dir)
-    spine = gaps.week_spine(_region_ranges(existing), ["region"])
+    spine = gaps.week_spine(_region_ranges(spark, sf_dir), ["region"])
     isl = gaps.islands(gaps.missing_keys(spine, existing, ["region", "week_start"]),
                        ["region"], "week_start", 7)
     return gaps.chunk_weeks(isl, SMALL_CHUNK_WEEKS).select(
@@ -157,10 +161,10 @@ MISSING_WEEK_CHUNKS_SQL = (
     MISSING_WEEK_CHUNKS_SQL
     + f" SELECT region, chunk_start, chunk_end, CAST((chunk_end - chunk_start) // 7 + 1 AS BIGINT) AS chunk_weeks, "
       f"{_ew('chunk_start')} AS chunk_start_epiweek, {_ew('chunk_end')} AS chunk_end_epiweek FROM chunks",
-    "fx_existing_weeks"))
+    "fx_existing_weeks", "fx_regions"))
 def q_missing_week_chunks(spark, sf_dir):
     existing = _weeks(spark, sf_dir)
-    return gaps.missing_week_chunks(_region_ranges(existing), existing, ["region"], CHUNK_WEEKS)
+    return gaps.missing_week_chunks(_region_ranges(spark, sf_dir), existing, ["region"], CHUNK_WEEKS)
 
 
 @query("plan_backfill", with_fixtures(
@@ -169,22 +173,22 @@ def q_missing_week_chunks(spark, sf_dir):
     + _islands_sql("kmissing", ["region"], "week_start", 7, "isl") + ", " + _chunks_sql("isl", CHUNK_WEEKS)
     + """ SELECT 'daily' AS source, point_id AS entity, range_start AS request_start, range_end AS request_end FROM disl
       UNION ALL SELECT 'weekly', region, chunk_start, chunk_end FROM chunks""",
-    "fx_existing_days", "fx_existing_weeks"))
+    "fx_existing_days", "fx_points", "fx_existing_weeks", "fx_regions"))
 def q_plan_backfill(spark, sf_dir):
     days, weeks = _days(spark, sf_dir), _weeks(spark, sf_dir)
-    return gaps.plan_backfill(_point_ranges(days), days, "point_id",
-                              _region_ranges(weeks), weeks, "region", CHUNK_WEEKS)
+    return gaps.plan_backfill(_point_ranges(spark, sf_dir), days, "point_id",
+                              _region_ranges(spark, sf_dir), weeks, "region", CHUNK_WEEKS)
 
 
 @query("chunk_range_join", with_fixtures(
     MISSING_WEEK_CHUNKS_SQL + f""" SELECT f.region, f.epiweek, f.week_start, c.chunk_start, c.chunk_end
     FROM fx_raw_flu f JOIN chunks c ON f.region = c.region
       AND {_ew('f.week_start')} BETWEEN {_ew('c.chunk_start')} AND {_ew('c.chunk_end')}""",
-    "fx_existing_weeks", "fx_raw_flu"))
+    "fx_existing_weeks", "fx_regions", "fx_raw_flu"))
 def q_chunk_range_join(spark, sf_dir):
     """Each flu row with the request chunk (same region) whose epiweek range holds it."""
     existing = _weeks(spark, sf_dir)
-    chunks = gaps.missing_week_chunks(_region_ranges(existing), existing, ["region"], CHUNK_WEEKS)
+    chunks = gaps.missing_week_chunks(_region_ranges(spark, sf_dir), existing, ["region"], CHUNK_WEEKS)
     flu = fixture(spark, sf_dir, "fx_raw_flu").select("region", "epiweek", "week_start")
     return gaps.chunk_membership(flu, chunks.select("region", "chunk_start", "chunk_end"),
                                  "region", "week_start")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from hebdo.operators.partitioning import spread
-from hebdo.plans.parity import grid_sql, on_grid
 from hebdo.plans.registry import query
 from hebdo.session import apply_engine_conf
 from hebdo.sources import dims
@@ -53,9 +52,9 @@ defaults AS (SELECT d.doc_id, CAST(x.idx AS BIGINT) AS idx, CAST(x.lat AS DOUBLE
 SELECT * FROM valid UNION ALL SELECT * FROM defaults"""
 
 
-@query("points_from_text", grid_sql(POINTS_SQL, ["lat", "lon"]))
+@query("points_from_text", POINTS_SQL)
 def q_points_from_text(spark, sf_dir):
-    return on_grid(dims.points(_docs(spark, sf_dir), "text", ["doc_id"]))
+    return dims.points(_docs(spark, sf_dir), "text", ["doc_id"])
 
 
 @query("regions_from_text", """

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hebdo.functions.text import try_number
+
 # Default points (lat, lon, point_id), default region label, default regions.
 DEFAULT_POINTS = (
     (37.34, -121.89, "sj"),
@@ -56,8 +58,8 @@ def points_from_text(text: Column) -> Column:
     def parse(chunk: Column, idx: Column) -> Column:
         parts = F.transform(F.split(chunk, ","), lambda p: F.trim(p))
         n = F.size(parts)
-        lat = F.when(n >= 2, F.try_element_at(parts, F.lit(1)).try_cast("double"))
-        lon = F.when(n >= 2, F.try_element_at(parts, F.lit(2)).try_cast("double"))
+        lat = F.when(n >= 2, try_number(F.try_element_at(parts, F.lit(1))))
+        lon = F.when(n >= 2, try_number(F.try_element_at(parts, F.lit(2))))
         pid_given = F.when(n >= 3, F.nullif(F.try_element_at(parts, F.lit(3)), F.lit("")))
         pid_default = F.coalesce(F.try_element_at(default_ids, idx + 1),
                                  F.concat(F.lit("p"), (idx + 1).cast("string")))

@@ -19,22 +19,23 @@ GOLD_CUTOFF = "1996-01-01"
 FIXTURE_SQL = {
     "fx_raw_pm25": """
 SELECT CAST(l_suppkey AS BIGINT) AS sensor_id, l_shipdate AS date_utc,
-  CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice / 100 - 20 END AS value,
+  CASE WHEN l_linenumber = 7 OR extract(WEEK FROM l_shipdate) % 9 = 4 THEN NULL ELSE l_extendedprice / 100 - 20 END AS value,
   'ug/m3' AS units, 'pm25' AS parameter,
   CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE l_suppkey % 25 END AS location_id,
   CAST(-119.5 AS DOUBLE) AS longitude, CAST(36.75 AS DOUBLE) AS latitude
-FROM lineitem WHERE extract(WEEK FROM l_shipdate) % 9 <> 4""",
+FROM lineitem""",
     "fx_raw_weather": """
-SELECT CAST(o_orderdate AS DATE) AS date, concat('R', CAST(o_custkey % 3 AS STRING)) AS region_label,
-  concat('p', CAST(o_custkey % 6 AS STRING)) AS point_id,
-  CAST(30 + o_custkey % 6 AS DOUBLE) AS lat, CAST(-120 + o_custkey % 6 AS DOUBLE) AS lon,
-  min(o_totalprice) / 5000 - 20 AS temp_min, max(o_totalprice) / 5000 - 20 AS temp_max,
-  CASE WHEN sum(o_orderkey) % 13 = 0 THEN NULL ELSE (max(o_totalprice) + min(o_totalprice)) / 10000 - 20 END AS temp_mean
-FROM orders
-WHERE extract(WEEK FROM o_orderdate) % 11 <> 5
-  AND (extract(WEEK FROM o_orderdate) % 13 <> 6
-       OR (CAST(o_orderdate AS DATE) = CAST(date_trunc('week', o_orderdate) AS DATE) AND o_custkey % 6 < 4))
-GROUP BY CAST(o_orderdate AS DATE), o_custkey % 6, o_custkey % 3""",
+SELECT date, region_label, point_id, lat, lon, CASE WHEN gap THEN NULL ELSE temp_min END AS temp_min,
+  CASE WHEN gap THEN NULL ELSE temp_max END AS temp_max, CASE WHEN gap THEN NULL ELSE temp_mean END AS temp_mean
+FROM (SELECT CAST(o_orderdate AS DATE) AS date, concat('R', CAST(o_custkey % 3 AS STRING)) AS region_label,
+    concat('p', CAST(o_custkey % 6 AS STRING)) AS point_id,
+    CAST(30 + o_custkey % 6 AS DOUBLE) AS lat, CAST(-120 + o_custkey % 6 AS DOUBLE) AS lon,
+    extract(WEEK FROM CAST(o_orderdate AS DATE)) % 11 = 5
+      OR (extract(WEEK FROM CAST(o_orderdate AS DATE)) % 13 = 6
+          AND (CAST(o_orderdate AS DATE) <> CAST(date_trunc('week', CAST(o_orderdate AS DATE)) AS DATE) OR o_custkey % 6 >= 4)) AS gap,
+    min(o_totalprice) / 5000 - 20 AS temp_min, max(o_totalprice) / 5000 - 20 AS temp_max,
+    CASE WHEN sum(o_orderkey) % 13 = 0 THEN NULL ELSE (max(o_totalprice) + min(o_totalprice)) / 10000 - 20 END AS temp_mean
+  FROM orders GROUP BY CAST(o_orderdate AS DATE), o_custkey % 6, o_custkey % 3) t""",
     "fx_raw_flu": """
 SELECT 'ca' AS region,
   CAST(extract(YEAR FROM week_start + INTERVAL 3 DAY) * 100 + extract(WEEK FROM week_start) AS BIGINT) AS epiweek,
@@ -57,6 +58,10 @@ FROM orders WHERE o_orderkey % 3 <> 0""",
     "fx_existing_weeks": """
 SELECT DISTINCT 'ca' AS region, CAST(date_trunc('week', o_orderdate) AS DATE) AS week_start
 FROM orders WHERE extract(WEEK FROM o_orderdate) % 10 < 4""",
+    "fx_points": """
+SELECT DISTINCT concat('p', CAST(c_custkey % 6 AS STRING)) AS point_id FROM customer""",
+    "fx_regions": """
+SELECT DISTINCT 'ca' AS region FROM region""",
     "fx_upsert_target": """
 SELECT date, point_id, region_label, temp_mean FROM fx_raw_weather WHERE extract(DAY FROM date) <= 20""",
     "fx_upsert_source": """
@@ -77,7 +82,7 @@ def register_driver_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view as a DataFrame (registers the driver tables it reads)."""
-    register_driver_tables(spark, sf_dir, ("orders", "lineitem"))
+    register_driver_tables(spark, sf_dir, ("orders", "lineitem", "customer", "region"))
     for dep in _DEPENDS.get(name, ()):
         spark.sql(FIXTURE_SQL[dep]).createOrReplaceTempView(dep)
     df = spark.sql(FIXTURE_SQL[name])

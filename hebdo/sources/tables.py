@@ -3,6 +3,8 @@ evolution, full rebuilds (CTAS) and table descriptions."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructField, StructType
 
@@ -32,8 +34,12 @@ def schema_from_fields(fields: list[tuple[str, str, bool]]) -> StructType:
 
 def ensure_layer(spark: SparkSession, name: str, comment: str = "") -> None:
     location = scratch_path(spark, "warehouse", f"{name}.db")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} COMMENT '{comment.replace(chr(39), '')}' "
-              f"LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} COMMENT {quoted(comment)} LOCATION {quoted(location)}")
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def schema_diff(existing: StructType, wanted: StructType) -> tuple[list[StructField], list[str]]:
@@ -54,9 +60,10 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType,
     """Create the table if absent; else add missing columns. A changed type fails.
     Returns the names of added columns."""
     if not spark.catalog.tableExists(name):
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
+                         for f in schema.fields)
         part = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
-        cmt = f" COMMENT '{comment.replace(chr(39), '')}'" if comment else ""
+        cmt = f" COMMENT {quoted(comment)}" if comment else ""
         spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part}{cmt}")
         return [f.name for f in schema.fields]
     add, conflicts = schema_diff(spark.table(name).schema, schema)
@@ -89,11 +96,13 @@ def append(df: DataFrame, name: str) -> None:
 
 
 def _reads_table(df: DataFrame, name: str) -> bool:
+    """Does the plan read any file below the table's folder? (by name or by path)"""
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
         return False
-    ident = name.split(".")[-1].lower()
-    return ident in df._jdf.queryExecution().analyzed().toString().lower()
+    where = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()
+    folder = re.sub("^file:/+", "/", where["data_type"]).rstrip("/") + "/"
+    return any(re.sub("^file:/+", "/", f).startswith(folder) for f in df.inputFiles())
 
 
 def create_or_replace_table(df: DataFrame, name: str, partition_cols: list[str] | None = None,
@@ -119,7 +128,7 @@ def create_or_replace_table(df: DataFrame, name: str, partition_cols: list[str]
 
 def set_description(spark: SparkSession, name: str, text: str) -> None:
     """Table description; a later call replaces the earlier one."""
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = '{text.replace(chr(39), '')}')")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = {quoted(text)})")
 
 
 def description(spark: SparkSession, name: str) -> str | None:

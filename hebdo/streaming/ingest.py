@@ -3,9 +3,15 @@
 or retried query resumes where it stopped.
 
 - :func:`land_events`      write driver events as JSON landing files (the stream's input)
-- :func:`weekly_tumbling`  Monday-aligned 7-day windows with a watermark (complete mode)
-- :func:`stream_upsert`    per micro-batch: dedup, then keyed merge into a state table
-- :func:`stream_dedup`     ``dropDuplicatesWithinWatermark`` on a natural key
+- :func:`weekly_tumbling`  Monday-aligned 7-day windows; late events count
+- :func:`stream_upsert`    the latest row per key over all micro-batches
+- :func:`stream_dedup`     natural keys, each once
+- :func:`stream_ingest`    landing payload files through the batch ingest jobs
+
+The three event streams keep their state as what each micro-batch adds (reduced by key, one
+folder per batch id, folded into a base now and then; see ``operators.upsert``). So a batch
+writes its own rows only, a replay replaces them, and no row is late: nothing is dropped by a
+watermark, and the state is bounded by the number of keys, not by the number of events.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
-from hebdo.operators.upsert import BUCKET_COL, merge_latest
+from hebdo.operators.upsert import add_batch, latest_by
 from hebdo.session import scratch_path, unique_suffix
 
 EVENT_SCHEMA = StructType([
@@ -30,12 +36,13 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "streams", f"{name}-{unique_suffix()}")
 
 
-def land_events(events: DataFrame, landing: str, n_files: int = 8) -> str:
-    """Write events as JSON files (``n_files`` files, split by day so that later files hold
-    later events). Event time is written as an instant (timestamp, not timestamp_ntz)."""
+def land_events(events: DataFrame, landing: str, n_files: int | None = None) -> str:
+    """Write events as JSON files, split by day so that later files hold later events; by
+    default as many files as AQE finds right for the data. Event time is written as an instant
+    (timestamp, not timestamp_ntz)."""
     out = events.withColumn("ts", F.col("ts").cast("timestamp"))
-    (out.repartitionByRange(n_files, "ts").write.mode("overwrite")
-     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(landing))
+    ranged = out.repartitionByRange(n_files, "ts") if n_files else out.repartitionByRange("ts")
+    ranged.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(landing)
     return landing
 
 
@@ -51,74 +58,65 @@ def weekly_window(ts_col: str = "ts"):
     return F.window(F.col(ts_col), "7 days", startTime="4 days")
 
 
-def weekly_tumbling(spark: SparkSession, landing: str, out_path: str, checkpoint: str,
-                    watermark: str = "7 days") -> str:
-    """Events per Monday week and type. Complete mode re-emits the whole (bounded: weeks x
-    types) result each batch, written by ``foreachBatch`` as a table; append mode would hold
-    back the last open week until the watermark passes it."""
-    agg = (event_stream(spark, landing).withWatermark("ts", watermark)
-           .groupBy(weekly_window().alias("w"), "event_type")
-           .agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value")))
+def _fold(stream: DataFrame, state: str, checkpoint: str, reduce_rows) -> str:
+    """Run the stream to the end of the available files; each micro-batch adds to ``state``."""
+    def add(batch: DataFrame, batch_id: int) -> None:
+        add_batch(batch.sparkSession, state, batch, batch_id, reduce_rows)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.col("w.start").cast("date").alias("week_start"), "event_type",
-                      "n_events", "total_value")
-         .write.mode("overwrite").parquet(out_path))
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = (stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return out_path
+    return state
 
 
-def stream_upsert(spark: SparkSession, landing: str, state_root: str, checkpoint: str,
-                  keys: list[str], rank_cols: list[str], buckets: int = 64) -> str:
-    """Keep the latest row per key (by ``rank_cols``) across all micro-batches.
+def sum_weeks(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("week_start", "event_type").agg(
+        F.sum("n_events").alias("n_events"), F.sum("total_value").alias("total_value"))
 
-    Each batch is folded into a bucketed state table (:func:`merge_latest`): only the
-    buckets the batch touches are read and rewritten, a newer row is never replaced by an
-    older one arriving later, and a replayed batch id leaves the same state."""
-    stream = event_stream(spark, landing)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_latest(spark, state_root, batch, keys, [F.col(c) for c in rank_cols], buckets,
-                     f"{state_root}__staging/batch={batch_id}")
+def weekly_tumbling(spark: SparkSession, landing: str, state: str, checkpoint: str) -> str:
+    """Events per Monday week and type, added up over micro-batches: a late event adds to its
+    week whenever it comes. Read with ``read_state(spark, state, sum_weeks)``."""
+    weeks = event_stream(spark, landing).select(
+        weekly_window().getField("start").cast("date").alias("week_start"), "event_type",
+        F.lit(1).cast("long").alias("n_events"), F.col("value").alias("total_value"))
+    return _fold(weeks, state, checkpoint, sum_weeks)
 
-    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return state_root
 
+def stream_upsert(spark: SparkSession, landing: str, state: str, checkpoint: str,
+                  keys: list[str], rank_cols: list[str]) -> str:
+    """Keep the latest row per key (by ``rank_cols``) across all micro-batches: a newer row is
+    never replaced by an older one arriving later."""
+    return _fold(event_stream(spark, landing), state, checkpoint, latest_rows(keys, rank_cols))
 
-def read_state(spark: SparkSession, state_root: str) -> DataFrame:
-    return spark.read.parquet(state_root).drop(BUCKET_COL)
 
+def latest_rows(keys: list[str], rank_cols: list[str]):
+    return lambda rows: latest_by(rows, keys, [F.col(c) for c in rank_cols])
 
-def stream_dedup(spark: SparkSession, landing: str, out_path: str, checkpoint: str,
-                 keys: list[str], watermark: str = "40 days") -> str:
-    """Drop repeated natural keys arriving within the watermark; file sink, append mode."""
+
+def stream_dedup(spark: SparkSession, landing: str, state: str, checkpoint: str, keys: list[str]) -> str:
+    """Each natural key once, however often and however late it repeats in the stream."""
     s = event_stream(spark, landing).withColumn("day", F.to_date("ts"))
-    d = s.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(keys)
-    q = (d.select(*keys).writeStream.format("parquet").outputMode("append")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out_path
+    return _fold(s.select(*keys), state, checkpoint, DataFrame.distinct)
 
 
 def stream_ingest(spark: SparkSession, landing: str, target_path: str, checkpoint: str,
                   kind: str, quarantine_path: str | None = None, files_per_batch: int = 8) -> str:
     """Incremental ingest of landing payload files (STR1 + STR2): every micro-batch of new
     files runs the batch ingest job (normalise, quarantine, dedup, staged upsert of the
-    touched partitions). The upsert is keyed, so a replayed batch leaves the same table."""
+    touched partitions). The upsert is keyed and the quarantine is per batch id, so a replayed
+    batch leaves the same tables; a batch whose rows are all refused merges nothing. PM2.5
+    pages lie in ``sensor_id=<id>`` folders, which name the sensor."""
     from hebdo.operators import jobs
 
-    run = {"weather": jobs.ingest_weather_docs, "flu": jobs.ingest_flu_docs}[kind]
-    docs = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(landing)
+    run = {"weather": jobs.ingest_weather_docs, "flu": jobs.ingest_flu_docs, "pm25": jobs.ingest_pm25_docs}[kind]
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    if kind == "pm25":
+        reader = reader.schema("value string, sensor_id bigint")
+    docs = reader.text(landing)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            run(spark, batch, target_path, quarantine_path)
+        run(batch.sparkSession, batch, target_path, quarantine_path, batch_id)
 
     q = (docs.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

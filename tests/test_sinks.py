@@ -32,13 +32,56 @@ def test_write_upsert_touches_only_source_partitions(spark):
     assert os.path.getmtime(os.path.join(local, "date=2024-01-01")) == before["date=2024-01-01"]
 
 
-def test_write_upsert_rejects_empty_source(spark):
+def _table(spark, rows, schema="date date, point_id string, temp double"):
     path = scratch_path(spark, "test", f"target-{unique_suffix()}")
-    spark.createDataFrame([(dt.date(2024, 1, 1), "p", 1.0)], "date date, point_id string, temp double") \
-        .write.partitionBy("date").parquet(path)
+    spark.createDataFrame(rows, schema).write.partitionBy("date").parquet(path)
+    return path
+
+
+def test_write_upsert_of_nothing(spark):
+    path = _table(spark, [(dt.date(2024, 1, 1), "p", 1.0)])
     empty = spark.createDataFrame([], "date date, point_id string, temp double")
-    with pytest.raises(ValueError):
-        up.write_upsert(spark, path, empty, ["date", "point_id"], "date")
+    assert up.write_upsert(spark, path, empty, ["date", "point_id"], "date") == 0
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_write_upsert_counts_and_stamps(spark):
+    path = scratch_path(spark, "test", f"target-{unique_suffix()}")
+    schema = "date date, point_id string, temp double"
+    first = spark.createDataFrame([(dt.date(2024, 1, 1), "a", 1.0), (dt.date(2024, 1, 1), None, 2.0)], schema)
+    stamp = {"inserted_at": F.current_timestamp()}
+    assert up.write_upsert(spark, path, first, ["date", "point_id"], "date", stamp=stamp) == 1  # a NULL key is skipped
+    again = spark.createDataFrame([(dt.date(2024, 1, 1), "b", 1.0), (dt.date(2024, 1, 2), "a", 1.0)], schema)
+    assert up.write_upsert(spark, path, again, ["date", "point_id"], "date", stamp=stamp) == 2
+    rows = spark.read.parquet(path).collect()
+    assert len(rows) == 3 and all(r.inserted_at is not None for r in rows)
+    twice = again.union(again)
+    with pytest.raises(up.DuplicateSourceKeys):
+        up.write_upsert(spark, path, twice, ["date", "point_id"], "date")
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_write_upsert_finishes_an_interrupted_swap(spark):
+    path = _table(spark, [(dt.date(2024, 1, d), "p", float(d)) for d in (1, 2)])
+    # a run died after its new state was whole and before the swap; another one while writing
+    whole = spark.createDataFrame([(dt.date(2024, 1, 2), "p", 20.0), (dt.date(2024, 1, 2), "q", 21.0)],
+                                  "date date, point_id string, temp double")
+    whole.write.option("partitionOverwriteMode", "static").partitionBy("date").parquet(up.pending_path(path))
+    up.finish_pending(spark, path, "date")
+    got = {(r.date.day, r.point_id): r.temp for r in spark.read.parquet(path).collect()}
+    assert got == {(1, "p"): 1.0, (2, "p"): 20.0, (2, "q"): 21.0}
+    whole.write.partitionBy("date").parquet(up.pending_path(path))
+    up.remove_path(spark, up.pending_path(path) + "/_SUCCESS")
+    up.remove_path(spark, f"{path}/date=2024-01-02")
+    up.finish_pending(spark, path, "date")
+    assert spark.read.parquet(path).count() == 1 and not up._path_exists(spark, up.pending_path(path))
+
+
+def test_upsert_fails_on_a_second_row_of_a_key(spark):
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    s = spark.createDataFrame([(2, "b"), (2, "c")], "k int, v string")
+    with pytest.raises(Exception, match="several rows for key k=2"):
+        up.upsert(t, s, ["k"]).collect()
 
 
 def test_merge_counts(spark):
@@ -71,21 +114,69 @@ def test_description_last_wins(spark):
     assert T.description(spark, f"{db}.g") == "second"
 
 
+def test_description_keeps_quotes(spark):
+    db = f"t_{unique_suffix().replace('-', '_')}"
+    T.ensure_layer(spark, db, "it's a layer")
+    T.create_or_replace_table(spark.range(3), f"{db}.g", comment="it's a 'table' \\ here")
+    assert T.description(spark, f"{db}.g") == "it's a 'table' \\ here"
+
+
+def test_self_read_is_found_by_path(spark):
+    db = f"t_{unique_suffix().replace('-', '_')}"
+    T.ensure_layer(spark, db)
+    T.create_or_replace_table(spark.range(5), f"{db}.g")
+    folder = spark.table(f"{db}.g").inputFiles()[0].rsplit("/", 1)[0]
+    T.create_or_replace_table(spark.read.parquet(folder).filter("id > 2"), f"{db}.g")
+    assert spark.table(f"{db}.g").count() == 2
+
+
+def _events(spark, root, n_files=4):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    S.land_events(events, f"{root}/landing", n_files=n_files)
+    return events
+
+
 def test_stream_upsert_restart_is_idempotent(spark):
     root = S.run_folder(spark, "test-upsert")
-    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    S.land_events(events, f"{root}/landing", n_files=4)
-    args = (f"{root}/landing", f"{root}/state", f"{root}/checkpoint", ["user_id", "event_type"], ["ts", "event_id"])
-    S.stream_upsert(spark, *args, buckets=4)
-    first = S.read_state(spark, f"{root}/state")
+    events = _events(spark, root)
+    keys, rank = ["user_id", "event_type"], ["ts", "event_id"]
+    args = (f"{root}/landing", f"{root}/state", f"{root}/checkpoint", keys, rank)
+    S.stream_upsert(spark, *args)
+    first = up.read_state(spark, f"{root}/state", S.latest_rows(keys, rank))
     n1 = first.count()
-    S.stream_upsert(spark, *args, buckets=4)   # restart: nothing new, state unchanged
-    second = S.read_state(spark, f"{root}/state")
+    S.stream_upsert(spark, *args)   # restart: nothing new, state unchanged
+    second = up.read_state(spark, f"{root}/state", S.latest_rows(keys, rank))
     assert second.count() == n1 and first.exceptAll(second).count() == 0
     expected = events.select("user_id", "event_type").distinct().count()
     assert n1 == expected
 
 
+def test_late_weeks_count_and_state_is_compacted(spark, monkeypatch):
+    """Files arrive newest first: with a watermark the older ones would be dropped."""
+    monkeypatch.setattr(up, "COMPACT_AFTER", 2)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    root = S.run_folder(spark, "test-late")
+    days = [r.d for r in events.select(F.to_date("ts").alias("d")).distinct().orderBy(F.desc("d")).collect()]
+    for k in range(0, len(days), 5):
+        events.filter(F.to_date("ts").isin(days[k:k + 5])).coalesce(1).write.mode("append").option(
+            "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{root}/landing")
+        S.weekly_tumbling(spark, f"{root}/landing", f"{root}/state", f"{root}/checkpoint")
+    got = {(r.week_start, r.event_type): r.n_events for r in up.read_state(spark, f"{root}/state", S.sum_weeks).collect()}
+    want = events.groupBy(F.trunc("ts", "week").alias("w"), "event_type").count().collect()
+    assert got == {(r.w, r.event_type): r["count"] for r in want}
+    base, batches = up.batch_folders(spark, f"{root}/state")
+    assert base >= 0 and len(batches) <= 2
+
+
+def test_a_batch_of_refused_documents_completes_and_restarts(spark):
+    root = S.run_folder(spark, "test-refused")
+    spark.createDataFrame([("not json",), ('{"request":{"point_id":"p"},"error":true}',)], "value string").write.text(f"{root}/landing")
+    args = (f"{root}/landing", f"{root}/weather", f"{root}/ckpt", "weather", f"{root}/quarantine")
+    S.stream_ingest(spark, *args)
+    S.stream_ingest(spark, *args)
+    assert sorted(r.reason for r in spark.read.parquet(f"{root}/quarantine").collect()) == ["NO_DAILY_DATA", "NO_REQUEST"]
+
+
 def test_ingest_jobs_and_stream(spark):
     from hebdo.operators import jobs
     from hebdo.sources import payloads as P
