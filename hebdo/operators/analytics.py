@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hebdo.functions import flags
+from hebdo.functions.calendar import days_inclusive
 
 
 def freshness(df: DataFrame, key: str = "week_start_date") -> DataFrame:
@@ -79,7 +80,7 @@ def load_summary(rows: DataFrame, entity: str, chunk_cols: list[str], source: st
 
 def missing_window_report(missing_ranges: DataFrame, entity: str) -> DataFrame:
     """Per entity: how many ranges and days are still missing, first and last missing day."""
-    days = F.datediff("range_end", "range_start") + 1
+    days = days_inclusive(F.col("range_start"), F.col("range_end"))
     return missing_ranges.groupBy(entity).agg(
         F.count(F.lit(1)).alias("n_ranges"), F.sum(days).cast("bigint").alias("n_missing_days"),
         F.min("range_start").alias("first_missing"), F.max("range_end").alias("last_missing"))

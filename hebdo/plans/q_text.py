@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from hebdo.functions.text import first_nonblank
 from hebdo.operators.partitioning import spread
 from hebdo.plans.registry import query
 from hebdo.session import apply_engine_conf
@@ -64,3 +67,15 @@ r2 AS (SELECT doc_id, CASE WHEN len(rs) > 0 THEN rs ELSE ['ca', 'state:ca'] END
 SELECT doc_id, CAST(unnest(range(1, len(rs) + 1)) AS BIGINT) AS position, unnest(rs) AS region FROM r2""")
 def q_regions_from_text(spark, sf_dir):
     return dims.regions(_docs(spark, sf_dir), "text", ["doc_id"])
+
+
+@query("first_nonblank", """
+SELECT doc_id, coalesce(nullif(trim(CASE WHEN doc_id % 3 = 0 THEN '  ' ELSE source END), ''),
+                        nullif(trim(CASE WHEN doc_id % 2 = 0 THEN NULL ELSE lang END), ''), nullif(trim(text), '')) AS label
+FROM documents""")
+def q_first_nonblank(spark, sf_dir):
+    """The first setting that is not blank, for each document."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    source = F.when(F.col("doc_id") % 3 == 0, "  ").otherwise(F.col("source"))
+    lang = F.when(F.col("doc_id") % 2 == 0, F.lit(None)).otherwise(F.col("lang"))
+    return docs.select("doc_id", first_nonblank(source, lang, F.col("text")).alias("label"))

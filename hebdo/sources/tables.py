@@ -55,18 +55,39 @@ def schema_diff(existing: StructType, wanted: StructType) -> tuple[list[StructFi
     return add, conflicts
 
 
+# Parquet reads every column back as nullable, so the catalog keeps which ones are required.
+REQUIRED = "hebdo.required_columns"
+
+
+def required_columns(spark: SparkSession, name: str) -> list[str]:
+    rows = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return [c for c in rows.get(REQUIRED, "").split(",") if c]
+
+
 def ensure_table(spark: SparkSession, name: str, schema: StructType,
                  partition_cols: list[str] | None = None, comment: str = "") -> list[str]:
-    """Create the table if absent; else add missing columns. A changed type fails.
-    Returns the names of added columns."""
+    """Create the table if absent; else add missing columns. A changed type or mode (required or
+    not), other partition columns, or a new required column fail. Returns the names of added
+    columns."""
+    required = [f.name for f in schema.fields if not f.nullable]
     if not spark.catalog.tableExists(name):
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
-                         for f in schema.fields)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         part = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
         cmt = f" COMMENT {quoted(comment)}" if comment else ""
-        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part}{cmt}")
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part}{cmt} "
+                  f"TBLPROPERTIES ({quoted(REQUIRED)} = {quoted(','.join(required))})")
         return [f.name for f in schema.fields]
     add, conflicts = schema_diff(spark.table(name).schema, schema)
+    new = {f.name.lower() for f in add}
+    had = {c.lower() for c in required_columns(spark, name)}
+    for f in schema.fields:
+        if f.name.lower() in new:
+            conflicts += [f"{f.name}: a new column cannot be required"] if not f.nullable else []
+        elif (f.name.lower() in had) == f.nullable:
+            conflicts.append(f"{f.name}: {'required' if f.nullable else 'nullable'} in the table")
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if partition_cols is not None and parts != list(partition_cols):
+        conflicts.append(f"partitioned by {parts}, not {list(partition_cols)}")
     if conflicts:
         raise SchemaConflict(f"{name}: " + "; ".join(conflicts))
     if add:
@@ -81,14 +102,20 @@ def check_required(df: DataFrame, required: list[str]) -> None:
     cond = None
     for c in required:
         cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
-    if cond is not None and df.filter(cond).limit(1).count() > 0:
+    if cond is not None and not df.filter(cond).isEmpty():
         raise ValueError(f"NULL in required columns {required}")
 
 
 def append(df: DataFrame, name: str) -> None:
-    """Append rows by column name (missing columns written as NULL)."""
+    """Append rows by column name (missing columns written as NULL); a NULL in a required column
+    of the table fails before anything is written."""
     spark = df.sparkSession
     target = spark.table(name).schema
+    required = required_columns(spark, name)
+    missing = [c for c in required if c not in df.columns]
+    if missing:
+        raise ValueError(f"required columns {missing} are missing")
+    check_required(df, required)
     from pyspark.sql import functions as F
     cols = [F.col(f.name).cast(f.dataType) if f.name in df.columns
             else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]

@@ -102,6 +102,14 @@ def test_ensure_table_evolution_and_conflict(spark):
     assert T.ensure_table(spark, name, v2) == ["url"]
     with pytest.raises(T.SchemaConflict):
         T.ensure_table(spark, name, T.schema_from_fields([("temp", "STRING", False)]))
+    for changed in ([("date", "DATE", False)], [("temp", "FLOAT64", True)], [("extra", "STRING", True)]):  # mode
+        with pytest.raises(T.SchemaConflict):
+            T.ensure_table(spark, name, T.schema_from_fields(changed))
+    with pytest.raises(T.SchemaConflict):
+        T.ensure_table(spark, name, v1, partition_cols=["date"])
+    assert T.required_columns(spark, name) == ["date"]
+    with pytest.raises(ValueError):
+        T.append(spark.createDataFrame([(None, 1.0)], "date date, temp double"), name)
     with pytest.raises(ValueError):
         T.check_required(spark.createDataFrame([(None, 1.0)], "date date, temp double"), ["date"])
 
