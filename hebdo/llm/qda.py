@@ -26,17 +26,23 @@ STEP = 1.0 / 1024
 N_FEATURES = 8
 
 
-def statistics(text: Column) -> Column:
-    """array<double> of the text's statistics; defined for the empty text too."""
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+def with_statistics(docs: DataFrame, keep: list) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and stats, array<double> of the text's statistics, defined
+    for the empty text too. What several of them need is computed once per text."""
+    text = F.col("stats_text")
     count = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
-    n_words, chars = F.size(words), F.greatest(F.length(squeezed(text)), F.lit(1))
-    n_lines = F.greatest(F.regexp_count(text, F.lit(r"(?m)^.*[^\x20\x09-\x0D]")), F.lit(1))
-    per_mille = lambda c: F.log1p(c * 1000.0 / chars)
-    stats = [F.log1p(n_words), chars / F.greatest(n_words, F.lit(1)), per_mille(count(SYMBOLS)),
-             per_mille(F.regexp_count(text, F.lit(r"\p{Lu}"))), per_mille(count("!")), per_mille(count(".,")),
-             F.size(F.array_distinct(words)) / F.greatest(n_words, F.lit(1)), F.log1p(n_words / n_lines)]
-    return F.array(*[F.rint(c.cast("double") / STEP) * STEP for c in stats])
+    parts = docs.select(*keep, text_of().alias("stats_text")).select("*", once(
+        words=F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
+        chars=F.greatest(F.length(squeezed(text)), F.lit(1)),
+        lines=F.greatest(F.regexp_count(text, F.lit(r"(?m)^.*[^\x20\x09-\x0D]")), F.lit(1)),
+        capitals=F.regexp_count(text, F.lit(r"\p{Lu}")), symbols=count(SYMBOLS), shouts=count("!"), stops=count(".,")))
+    kept = [c for c in parts.columns if c not in ("stats_text", "words", "chars", "lines", "capitals", "symbols", "shouts", "stops")]
+    n_words = F.size("words")
+    per_mille = lambda c: F.log1p(F.col(c) * 1000.0 / F.col("chars"))
+    stats = [F.log1p(n_words), F.col("chars") / F.greatest(n_words, F.lit(1)), per_mille("symbols"), per_mille("capitals"),
+             per_mille("shouts"), per_mille("stops"), F.size(F.array_distinct("words")) / F.greatest(n_words, F.lit(1)),
+             F.log1p(n_words / F.col("lines"))]
+    return parts.select(*kept, once(stats=F.array(*[F.rint(c.cast("double") / STEP) * STEP for c in stats])))
 
 
 @dataclass
@@ -134,7 +140,7 @@ def classify(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -
     table gives none; other columns are not read.
     """
     ship_package(docs.sparkSession)
-    stats = written(docs.select("doc_id", once(stats=statistics(text_of()))), "qda-statistics")
+    stats = written(with_statistics(docs, ["doc_id"]), "qda-statistics")
     model = fit(training_rows(stats, labels), shrinkage)
     return (stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
                          score_of(model, F.col("stats")).alias("score"))
@@ -144,6 +150,6 @@ def classify(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -
 def keep_good(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
     ship_package(docs.sparkSession)
-    held = docs.select(F.struct("*").alias("row"), "doc_id", once(stats=statistics(text_of())))
+    held = with_statistics(docs, [F.struct("*").alias("row"), "doc_id"])
     model = fit(training_rows(held.select("doc_id", "stats"), labels), shrinkage)
     return held.filter(score_of(model, F.col("stats")) >= 0.5).select("row.*")
