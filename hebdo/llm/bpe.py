@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 
 from hebdo.llm.common import ship_package
 
-#: Pieces in a generation of the cache, and states of the transducer before they are remade.
-CACHE_PIECES = 600_000
-MAX_STATES = 200_000
+#: Pieces in a generation of the cache (about 200 bytes each), and states of the transducer
+#: (about 1 KB each) before they are remade: some 150 MB in each Python worker.
+CACHE_PIECES = 250_000
+MAX_STATES = 40_000
 #: Longer pieces (bytes or characters) are not kept.
 LONG_PIECE = 128
 #: Characters of texts that are split together, and pieces or tokens that are held at a time.
