@@ -31,11 +31,14 @@ def word_hashes(text: Column) -> Column:
                        lambda w: F.crc32(w.cast("binary")))
 
 
-def grams(hashes: Column, buckets: int = BUCKETS) -> Column:
-    """The buckets of all words and of all pairs of neighbours (null after the last word)."""
-    pairs = F.zip_with(hashes, F.slice(hashes, 2, F.greatest(F.size(hashes), F.lit(1))),
-                       lambda a, b: (a * PAIR_FACTOR + b) % buckets)
-    return F.concat(F.transform(hashes, lambda h: h % buckets), pairs)
+def neighbours(hashes: Column) -> Column:
+    """array<struct<word, next>>: each word's hash and that of the word after it (null at the end)."""
+    return F.arrays_zip(hashes.alias("word"), F.slice(hashes, 2, F.greatest(F.size(hashes), F.lit(1))).alias("next"))
+
+
+def buckets_of(word: Column, following: Column, buckets: int) -> tuple[Column, Column]:
+    """The bucket of a word, and that of the pair it begins (null at the end)."""
+    return word % buckets, (word * PAIR_FACTOR + following) % buckets
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -48,7 +51,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
     counts = (docs.select("doc_id", text_of().alias("text"))
               .join(ids.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left")
               .select(F.col("trusted_id").isNotNull().cast("long").alias("good"), once(hashes=word_hashes(F.col("text"))))
-              .select("good", F.explode(grams(F.col("hashes"), buckets)).alias("bucket"))
+              .select("good", F.inline(neighbours(F.col("hashes"))).alias("word", "next"))
+              .select("good", F.explode(F.array(*buckets_of(F.col("word"), F.col("next"), buckets))).alias("bucket"))
               .filter("bucket IS NOT NULL")
               .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("good").alias("target")))
     counts = written(counts, "quality-counts")
@@ -59,6 +63,13 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
                          .cast("long").alias("ratio"))
 
 
+def joined(hashes: Column, step: int) -> Column:
+    """Each element hashed with the one ``step`` after it; elements without one are left out."""
+    n = F.size(hashes) - step
+    return F.when(n > 0, F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, step + 1, n), lambda a, b: F.xxhash64(a, b))) \
+        .otherwise(F.array().cast("array<bigint>"))
+
+
 def repeated_words(windows: Column) -> dict[str, Column]:
     """The stages of counting words under windows that occur twice: each refers to the column
     of the one before, which must have been computed once."""
@@ -88,13 +99,14 @@ def quality(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, thresho
     """
     ratios = written(log_ratios(docs, trusted, buckets), "quality-ratios")
     lines = F.filter(F.split("text", "\n"), lambda line: F.length(squeezed(line)) > 0)
-    windows = F.when(F.size("hashes") >= WINDOW, F.transform(
-        F.sequence(F.lit(1), F.size("hashes") - WINDOW + 1),
-        lambda i: F.xxhash64(F.slice("hashes", i, F.lit(WINDOW))))).otherwise(F.array().cast("array<bigint>"))
     count = lambda chars: F.length("text") - F.length(F.translate("text", chars, ""))
     found = docs.select("doc_id", F.monotonically_increasing_id().alias("uid"), text_of().alias("text"),
                         once(hashes=word_hashes(text_of())))
-    found = found.select("*", once(lines=lines, windows=windows))
+    found = found.select("*", once(lines=lines, joined=joined(F.col("hashes"), 1)))
+    for step in (2, 4):  # hashes of 2, 4 and 8 words from two halves each
+        found = found.withColumnRenamed("joined", "half").select(
+            *[c for c in found.columns if c != "joined"], once(joined=joined(F.col("half"), step)))
+    found = found.withColumnRenamed("joined", "windows")
     stages = repeated_words(F.col("windows"))
     found = (found.select("*", once(sorted=stages["sorted"])).select("*", once(places=stages["places"]))
              .select("doc_id", "uid", F.size("hashes").cast("long").alias("n_words"),
@@ -105,11 +117,18 @@ def quality(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, thresho
     base = ["doc_id", "uid", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     # a document's n-grams meet the ratios (a broadcast of ``buckets`` rows at most) and are added
     # up again in the same task: one narrow row per document is shuffled
-    summed = (found.select(*base, F.explode_outer(grams(F.col("hashes"), buckets)).alias("bucket"))
-              .join(F.broadcast(ratios.withColumnRenamed("bucket", "of")), F.col("bucket") == F.col("of"), "left")
-              .groupBy(*base).agg(F.sum("ratio").alias("total"), F.count("ratio").alias("n_grams")))
+    of_word, of_pair = buckets_of(F.col("word"), F.col("next"), buckets)
+    by_word = F.broadcast(ratios.select(F.col("bucket").alias("word_bucket"), F.col("ratio").alias("word_ratio")))
+    by_pair = F.broadcast(ratios.select(F.col("bucket").alias("pair_bucket"), F.col("ratio").alias("pair_ratio")))
+    summed = (found.select(*base, F.inline_outer(neighbours(F.col("hashes"))).alias("word", "next"))
+              .select(*base, of_word.alias("of_word"), of_pair.alias("of_pair"))
+              .join(by_word, F.col("of_word") == F.col("word_bucket"), "left")
+              .join(by_pair, F.col("of_pair") == F.col("pair_bucket"), "left")
+              .groupBy(*base).agg(
+                  (F.coalesce(F.sum("word_ratio"), F.lit(0)) + F.coalesce(F.sum("pair_ratio"), F.lit(0))).alias("total"),
+                  (F.count("word_ratio") + F.count("pair_ratio")).alias("n_grams")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    passes = F.coalesce(F.col("total") >= F.lit(round(threshold * MILLION)) * F.col("n_grams"), F.lit(False))
+    passes = (F.col("n_grams") > 0) & (F.col("total") >= F.lit(round(threshold * MILLION)) * F.col("n_grams"))
     return summed.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          failed.alias("base_failed"),
                          (F.col("total") / F.when(F.col("n_grams") > 0, F.col("n_grams")) / MILLION).alias("score"),
