@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hebdo.session import scratch_path, unique_suffix
+from hebdo.session import forget_on_exit, scratch_path, unique_suffix
 
 
 class DuplicateSourceKeys(ValueError):
@@ -124,11 +124,11 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
 
 def stage(df: DataFrame, name: str = "batch") -> DataFrame:
     """Staging load: write a merge source once to a fresh folder under the shared checkpoint
-    root and read it back. The merge reads its source several times (uniqueness check, key
-    anti-join, union); staging evaluates an expensive source (JSON parsing) once and cuts its
-    lineage, so a lost executor re-reads files instead of re-parsing payloads."""
+    root and read it back, so that an expensive source (JSON parsing) is evaluated once and a
+    lost executor re-reads files instead of re-parsing payloads. The folder goes when the driver
+    ends."""
     spark = df.sparkSession
-    path = scratch_path(spark, "staging", f"{name}-{unique_suffix()}")
+    path = forget_on_exit(spark, scratch_path(spark, "staging", f"{name}-{unique_suffix()}"))
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

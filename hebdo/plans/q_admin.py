@@ -9,7 +9,7 @@ from hebdo.operators.jobs import run_steps
 from hebdo.plans.parity import on_grid
 from hebdo.plans.q_layers import GOLD_CTES, GOLD_SUMS, _oracle, raw_tables
 from hebdo.plans.registry import query
-from hebdo.session import unique_suffix
+from hebdo.session import forget_on_exit, scratch_path, unique_suffix
 from hebdo.sources import tables as T
 from hebdo.sources.fixtures import GOLD_CUTOFF, fixture, with_fixtures
 
@@ -21,7 +21,8 @@ WEATHER_V2 = WEATHER_V1 + [("source_url", "STRING", False), ("chunk_start", "DAT
 
 def _layer(spark, name):
     db = f"{name}_{unique_suffix().replace('-', '_')}"
-    T.ensure_layer(spark, db, f"{name} layer")
+    # a layer of this run only: below the shared scratch folder, gone when the driver ends
+    T.ensure_layer(spark, db, f"{name} layer", forget_on_exit(spark, scratch_path(spark, "layers", f"{db}.db")))
     return db
 
 

@@ -81,3 +81,10 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 def unique_suffix() -> str:
     return f"{os.getpid()}-{os.urandom(4).hex()}"
+
+
+def forget_on_exit(spark: SparkSession, path: str) -> str:
+    """Have the file system that holds ``path`` delete it when the driver ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path

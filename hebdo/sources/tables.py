@@ -8,7 +8,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructField, StructType
 
-from hebdo.session import scratch_path, unique_suffix
+from hebdo.session import unique_suffix
 
 # Warehouse type names and their Spark types (synonyms compare equal).
 TYPE_SYNONYMS = {
@@ -32,9 +32,10 @@ def schema_from_fields(fields: list[tuple[str, str, bool]]) -> StructType:
     return StructType([StructField(n, spark_type(t), not req) for n, t, req in fields])
 
 
-def ensure_layer(spark: SparkSession, name: str, comment: str = "") -> None:
-    location = scratch_path(spark, "warehouse", f"{name}.db")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} COMMENT {quoted(comment)} LOCATION {quoted(location)}")
+def ensure_layer(spark: SparkSession, name: str, comment: str = "", location: str | None = None) -> None:
+    """Create the database if absent, in the warehouse folder unless a location is given."""
+    where = f" LOCATION {quoted(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} COMMENT {quoted(comment)}{where}")
 
 
 def quoted(text: str) -> str:

@@ -22,7 +22,7 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
                                TimestampType)
 
 from hebdo.operators.upsert import add_batch, latest_by
-from hebdo.session import scratch_path, unique_suffix
+from hebdo.session import forget_on_exit, scratch_path, unique_suffix
 
 EVENT_SCHEMA = StructType([
     StructField("event_id", LongType()), StructField("ts", TimestampType()),
@@ -32,8 +32,9 @@ EVENT_SCHEMA = StructType([
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run's landing files, checkpoints and outputs."""
-    return scratch_path(spark, "streams", f"{name}-{unique_suffix()}")
+    """A fresh folder for one run's landing files, checkpoints and outputs; it goes when the driver
+    ends."""
+    return forget_on_exit(spark, scratch_path(spark, "streams", f"{name}-{unique_suffix()}"))
 
 
 def land_events(events: DataFrame, landing: str, n_files: int | None = None) -> str:
