@@ -18,6 +18,8 @@ import base64
 import gc
 import hashlib
 import struct
+import threading
+import time
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -343,16 +345,30 @@ class Decoder:
 
 
 _LOADED: dict[tuple[str, str], tuple[Encoder, Decoder]] = {}
+#: Spark keeps idle Python workers, and with them what they hold: after so many seconds without
+#: use a worker lets its codecs (some 250 MB) go.
+IDLE_SECONDS = 5.0
+_last_use = [0.0]
 
 
 def loaded(path: str, pattern: str) -> tuple[Encoder, Decoder]:
-    """The codec of this Python worker: read once, its states kept from batch to batch."""
+    """The codec of this Python worker: read once, its states kept from batch to batch and from
+    task to task, until the worker has been idle for a while."""
+    _last_use[0] = time.monotonic()
     if (path, pattern) not in _LOADED:
+        if not _LOADED:
+            threading.Thread(target=_let_go_when_idle, daemon=True).start()
         ranks = read_ranks(path)
         _LOADED[path, pattern] = Encoder(ranks, pattern), Decoder(ranks)
     return _LOADED[path, pattern]
 
 
+def _let_go_when_idle() -> None:
+    while time.monotonic() - _last_use[0] < IDLE_SECONDS:
+        time.sleep(1.0)
+    _LOADED.clear()  # a task that still encodes holds its own reference
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked, ids
     (packed little-endian 32-bit). The ids are decoded again for decoded_sha256.
@@ -378,6 +394,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
                 text_sha.append(decoded.hexdigest())
                 if with_ids:
                     ids.append(packed)
+            _last_use[0] = time.monotonic()
             cols = {"doc_id": batch.column(0), "n_tokens": pa.array(n, pa.int64()),
                     "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
             if with_ids:

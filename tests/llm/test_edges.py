@@ -202,6 +202,16 @@ def test_bpe_with_small_caches(monkeypatch):
     assert [decoder.text(p, 3) for p in encoder.encode_all(texts)] == texts
 
 
+def test_idle_codecs_are_let_go(monkeypatch):
+    import time
+    monkeypatch.setattr(bpe, "IDLE_SECONDS", 0.2)
+    bpe._LOADED.clear()
+    encoder, _ = bpe.loaded(*BPE)
+    time.sleep(2.5)
+    assert not bpe._LOADED and len(encoder.encode("still usable")) == 4 * 2
+    assert bpe.loaded(*BPE)[0] is not encoder
+
+
 def test_utf8_stream_cut_anywhere():
     data = "aé漢🙂z".encode() + b"\xff\xe2\x82" + "ü".encode() + b"\xf0\x9f"
     for cut in range(1, 5):
