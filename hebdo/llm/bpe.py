@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from hebdo.llm.common import ship_package
 
 #: Pieces in a generation of the cache (about 200 bytes each), and states of the transducer
-#: (about 1 KB each) before they are remade: some 150 MB in each Python worker.
-CACHE_PIECES = 250_000
-MAX_STATES = 40_000
+#: (about 1 KB each) before they are remade: at most 300 MB in each Python worker.
+CACHE_PIECES = 600_000
+MAX_STATES = 60_000
 #: Longer pieces (bytes or characters) are not kept.
 LONG_PIECE = 128
 #: Characters of texts that are split together, and pieces or tokens that are held at a time.
@@ -135,14 +135,16 @@ class Transducer:
     def _step(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The transition on a byte: determinised now, remembered in ``_next``."""
         settled, tail, live, starts, tokens = self._states[number]
+        child, token_at, pairs = self._child.get, self._token_at, self._pairs.get
         end, going = -1, []
         for start, node in live:  # longest token first; one alone fits
-            node = self._child.get(node << 8 | byte)
+            node = child(node << 8 | byte)
             if node is not None:
                 going.append((start, node))
-                if end < 0:
-                    token = self._token_at[node]
-                    if token >= 0 and self._compatible(tokens[start] if start else settled, token):
+                if end < 0 and (token := token_at[node]) >= 0:
+                    left = tokens[start] if start else settled
+                    fits = pairs(left << 32 | token)
+                    if fits or fits is None and self._compatible(left, token):
                         end, last = start, token
         if end < 0:
             raise ValueError(f"no token ends with byte {byte}: the rank file lacks single bytes")
@@ -156,17 +158,19 @@ class Transducer:
                     p = starts[p]
                 else:
                     common = starts[common]
-        emitted = self._path(starts, tokens, common)
+        emitted = ()
         if common:
+            emitted = self._path(starts, tokens, common)
             settled, tail = emitted[-1], tail[common:]
         to = self._numbers.get((settled, tail))
         if to is None:
             to = self._numbers[settled, tail] = len(self._states)
-            live = tuple([(p - common, node) for p, node in going] + [(n - common, 0)])
+            going.append((n, 0))
             if common:
+                going = [(p - common, node) for p, node in going]
                 starts = (0, *[p - common for p in starts[common + 1:]])
                 tokens = (-1, *tokens[common + 1:])
-            self._states.append((settled, tail, live, starts, tokens))
+            self._states.append((settled, tail, tuple(going), starts, tokens))
         self._next[number << 8 | byte] = (to, emitted)
         return to, emitted
 
