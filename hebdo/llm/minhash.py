@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hebdo.llm.common import ship_package, written
-from hebdo.llm.textbytes import U, mixed, shingle_hashes, word_hashes
+from hebdo.llm.textbytes import U, in_slices, mixed, shingle_hashes, word_hashes
 
 SHINGLE_WORDS = 5
 #: Linked if 100 * intersection >= PERCENT * union.
@@ -71,7 +71,7 @@ def set_key(distinct: np.ndarray) -> bytes:
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text -> doc_id, class_id, n_shingles, sig (8 bits a bin), bands."""
     salt = mixed(np.arange(1, BINS // ROWS_PER_BAND + 1, dtype=U))
-    for batch in batches:
+    for batch in in_slices(batches):
         words, at = word_hashes(batch.column(1))
         n, keys, sigs, bands = [], [], [], []
         for a, b in zip(at[:-1], at[1:], strict=True):
@@ -91,7 +91,7 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """class_id, text -> class_id, shingles, for texts of that class (an id may have others)."""
-    for batch in batches:
+    for batch in in_slices(batches):
         words, at = word_hashes(batch.column(1))
         keys, sets = [], []
         for key, a, b in zip(batch.column(0).to_pylist(), at[:-1], at[1:], strict=True):
@@ -111,11 +111,20 @@ def _plausible(agree: np.ndarray, n: int, others: np.ndarray) -> np.ndarray:
     return (agree >= lowest * BINS) & (100 * small >= PERCENT * large)
 
 
+def _values(column: pa.Array) -> list:
+    """The column's values; lists of numbers as numpy arrays."""
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    at = column.offsets.to_numpy()
+    flat = column.values.to_numpy(zero_copy_only=False)
+    return [flat[a:b].copy() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows sorted by their first column -> (value, the other columns as lists), value by value."""
     value, held = None, []
-    for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+    for batch in in_slices(batches, 1024):
+        for row in zip(*map(_values, batch.columns), strict=True):
             if row[0] != value:
                 if len(held) > 1:
                     yield value, list(zip(*held, strict=True))[1:]
@@ -197,7 +206,7 @@ def cross_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     join what is linked (a forest, not every link)."""
     a, b = [], []
     for _, (ids, n, sigs, side, comp, common, shingles) in _groups(batches):
-        sets = [np.array(x, dtype=np.int64) for x in shingles]
+        sets = list(shingles)
         starts = np.cumsum([0, *map(len, sets)])
         _, every = np.unique(np.concatenate(sets), return_inverse=True)
         mark = np.zeros(every.max() + 1, dtype=bool)

@@ -45,6 +45,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows (no copies): what is made from a slice's texts
+    is many times their size, and Spark keeps Python workers with the memory they have taken."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column, one after another, and each text's offsets. Null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
