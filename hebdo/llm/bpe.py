@@ -5,8 +5,9 @@ lazily. After some bytes of a piece, every prefix has one encoding, and its last
 that token's start form a tree over the positions; what later bytes can change lies below the
 last common ancestor of the positions from which a token may still continue. A state is
 therefore (last settled token, the bytes after it); reading a byte settles the tokens above the
-new common ancestor and emits them, after a lookahead bounded by the longest token. States and
-their transitions are made when a text first needs them and shared by all later texts.
+new common ancestor and emits them, after a lookahead bounded by the longest token. A transition
+is made when a text needs it for the second time and shared by all later texts; the first time,
+the rest of the piece is walked from the state without making others.
 
 Which token ends a prefix is unique: the one that is compatible with the token before it, that
 is, the text of the two encodes to just them.
@@ -30,13 +31,13 @@ from pyspark.sql import DataFrame
 from hebdo.llm.common import ship_package
 
 #: Pieces in a generation of the cache (about 200 bytes each), and states of the transducer
-#: (about 1 KB each) before they are remade: at most 300 MB in each Python worker.
-CACHE_PIECES = 600_000
+#: (about 1 KB each) before they are remade: at most 220 MB in each Python worker.
+CACHE_PIECES = 400_000
 MAX_STATES = 60_000
 #: Longer pieces (bytes or characters) are not kept.
 LONG_PIECE = 128
 #: Characters of texts that are split together, and pieces or tokens that are held at a time.
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 2_000_000
 PIECES_AT_ONCE = 200_000
 
 
@@ -74,6 +75,7 @@ class Transducer:
         self._numbers = {(-1, b""): 0}
         self._next: dict[int, tuple[int, tuple[int, ...]]] = {}  # state and byte -> state, output
         self._ends: dict[int, tuple[int, ...]] = {}
+        self._asked: set[int] = set()  # transitions that were walked once and not made
 
     def merge(self, piece: bytes, below: int = 1 << 60) -> list[int]:
         """The merges with a rank under ``below``, lowest first (for short byte strings)."""
@@ -194,38 +196,68 @@ class Transducer:
         """The ids of each piece. Sorted pieces share the run over what two neighbours begin with."""
         if len(self._states) > MAX_STATES:
             self._reset()
-        known, step = self._next.get, self._step
+        if len(self._asked) > MAX_STATES:
+            self._asked.clear()
+        known, step, asked = self._next.get, self._step, self._asked
         before, states, outputs, result = b"", [0], [()], []
         for piece in pieces:
             whole = self.ranks.get(piece)
             if whole is not None:  # a piece that is a token is that token
                 result.append((whole,))
                 continue
+            if len(piece) > LONG_PIECE:  # outputs after each byte would grow with its square
+                result.append(self._walk(0, piece))
+                continue
             shared, most = 0, min(len(before), len(piece))
             while shared < most and before[shared] == piece[shared]:
                 shared += 1
+            shared = min(shared, len(states) - 1)
             del states[shared + 1:], outputs[shared + 1:]
             state, out = states[shared], outputs[shared]
-            if len(piece) > LONG_PIECE:
-                result.append(self._encode_long(state, out, piece[shared:]))
-                continue
-            for byte in piece[shared:]:
-                state, emitted = known(state << 8 | byte) or step(state, byte)
+            for at in range(shared, len(piece)):
+                key = state << 8 | piece[at]
+                to = known(key)
+                if to is None:
+                    if key not in asked:
+                        asked.add(key)
+                        out += self._walk(state, piece[at:])
+                        break
+                    to = step(state, piece[at])
+                state, emitted = to
                 if emitted:
                     out += emitted
                 states.append(state)
                 outputs.append(out)
-            result.append(out + self._end(state))
+            else:
+                out += self._end(state)
+            result.append(out)
             before = piece
         return result
 
-    def _encode_long(self, state: int, out: tuple[int, ...], rest: bytes) -> tuple[int, ...]:
-        """The same without the outputs after each byte, which would grow with its square."""
-        ids = list(out)
+    def _walk(self, number: int, rest: bytes) -> tuple[int, ...]:
+        """What the rest of a piece emits from a state, without making states on the way."""
+        settled, tail, live, starts, tokens = self._states[number]
+        child, token_at, pairs = self._child.get, self._token_at, self._pairs.get
+        starts, tokens, n = list(starts), list(tokens), len(tail)
         for byte in rest:
-            state, emitted = self._next.get(state << 8 | byte) or self._step(state, byte)
-            ids += emitted
-        return (*ids, *self._end(state))
+            end, going = -1, []
+            for start, node in live:
+                node = child(node << 8 | byte)
+                if node is not None:
+                    going.append((start, node))
+                    if end < 0 and (token := token_at[node]) >= 0:
+                        left = tokens[start] if start else settled
+                        fits = pairs(left << 32 | token)
+                        if fits or fits is None and self._compatible(left, token):
+                            end, last = start, token
+            if end < 0:
+                raise ValueError(f"no token ends with byte {byte}: the rank file lacks single bytes")
+            n += 1
+            starts.append(end)
+            tokens.append(last)
+            going.append((n, 0))
+            live = going
+        return self._path(starts, tokens, n)
 
 
 def pack(ids: tuple[int, ...]) -> bytes:
