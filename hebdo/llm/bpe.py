@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from hebdo.llm.common import ship_package
+from hebdo.llm.textbytes import give_back
 
 #: Pieces in a generation of the cache (about 200 bytes each), and states of the transducer
 #: (about 1 KB each) before they are remade: at most 220 MB in each Python worker.
@@ -403,6 +404,7 @@ def _let_go_when_idle() -> None:
     while time.monotonic() - _last_use[0] < IDLE_SECONDS:
         time.sleep(1.0)
     _LOADED.clear()  # a task that still encodes holds its own reference
+    give_back()
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
@@ -437,6 +439,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
                 cols["ids"] = pa.array(ids, pa.binary())
             yield pa.RecordBatch.from_pydict(cols)
         gc.enable()
+        give_back()
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
