@@ -1,17 +1,20 @@
 """License scans by conditional compression.
 
-Lines (and paragraphs of several lines) that mention licensing are compressed alone and with
-each template as a zstandard raw dictionary. The template that shrinks a block most explains
-it best; the best few are compared with it word by word, and a notice is reported with exactly
-the words it lacks and adds.
+Around every mention of licensing, a window that any block of a template's length can lie in is
+aligned with the template word by word, whatever its lines and paragraphs; words before and after
+the block are free. Each block found is compressed alone and with its template as a zstandard raw
+dictionary. Of blocks that overlap, the one that its template shrinks by most bytes stays, and is
+reported with exactly the words it lacks and adds.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -43,94 +46,192 @@ TEMPLATES = (
                      "provided that the following conditions are met:"),
     ("all-rights-reserved", "All rights reserved."),
 )
-#: Blocks that mention none of these are no notice.
-CUE = r"(?i)licen[cs]|copyright|rights reserved|redistribut|permission is hereby|creative commons|\bcc[ -]by"
+#: Blocks that mention none of these are no notice (a notice may be wrapped at any space).
+CUE = (r"(?i)licen[cs]|copyright|rights\W+reserved|redistribut|permission\W+is\W+hereby|creative\W+commons"
+       r"|\bcc[ -]by")
 #: Confirmed if at least this share of the template's words is there in order, and at most so
 #: many other words, relative to the template, are added.
 MIN_FOUND, MAX_ADDED = 0.85, 0.25
-#: A line of more words is looked at in overlapping stretches, half as long each as two lines.
-STRETCH_WORDS = 160
-#: Templates (by shrinkage) that are compared word by word.
-RANKED = 3
+#: A word at a block's edge that is spelled this much like the missing word next to it replaces it.
+ALIKE = 0.7
+#: Words of one alignment at least, in blocks of a template's length; a longer stretch is cut into
+#: windows that overlap by a block.
+WINDOW_WORDS, WINDOW_BLOCKS = 400, 6
 
-_WORD = re.compile(r"[\w.+-]*\w")
+_WORD = re.compile(r"\w(?:[\w.+-]*[\w+])?")
+_NEVER = 1 << 20  # the cost of a difference that rules a block out
 
 
 def words_of(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
+class Template:
+    def __init__(self, name: str, text: str, vocabulary: dict[str, int], fmt):
+        self.name, self.words = name, words_of(text)
+        n = len(self.words)
+        self.ids = [vocabulary.setdefault(w, len(vocabulary)) for w in self.words]
+        self.distinct = set(self.words)
+        self.miss_cost = [1] * n
+        self.may_lack = max(1 if n >= 5 else 0, int((1 - MIN_FOUND) * n + 1e-9))  # one word of a short notice
+        self.may_add = int(MAX_ADDED * n + 1e-9)
+        self.reach = n + self.may_add + 1
+        raw = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        self.compressor = zstandard.ZstdCompressor(compression_params=fmt, dict_data=raw)
+
+    def dense(self, ids: np.ndarray, known: np.ndarray) -> bool:
+        """Does any stretch of a block's length hold enough words of the template at all?"""
+        total = np.concatenate(([0], np.cumsum(known[ids])))
+        far = min(self.reach, len(ids))
+        return int((total[far:] - total[:-far]).max()) >= len(self.words) - self.may_lack
+
+    def align(self, ids: np.ndarray, add_cost: np.ndarray) -> tuple[int, int, list[int]] | None:
+        """First and last word matched, and for each template word its place or -1, with the fewest
+        words missing and added; words before and after are free."""
+        m = len(ids)
+        added = np.concatenate(([0], np.cumsum(add_cost)))
+        cost = np.zeros((len(self.ids) + 1, m + 1), np.int64)
+        for i, want in enumerate(self.ids):
+            row = cost[i] + self.miss_cost[i]
+            row[1:] = np.minimum(row[1:], np.where(ids == want, cost[i, :-1], _NEVER * 1024))
+            cost[i + 1] = np.minimum.accumulate(row - added) + added
+        j = int(cost[-1].argmin())
+        if cost[-1, j] >= _NEVER:
+            return None
+        places, i = [-1] * len(self.ids), len(self.ids)
+        while i:
+            if j and ids[j - 1] == self.ids[i - 1] and cost[i, j] == cost[i - 1, j - 1]:
+                i, j = i - 1, j - 1
+                places[i] = j
+            elif cost[i, j] == cost[i - 1, j] + self.miss_cost[i - 1]:
+                i -= 1
+            else:
+                j -= 1
+        at = [k for k in places if k >= 0]
+        return (at[0], at[-1], places) if at else None
+
+
 class Scanner:
     def __init__(self, templates=TEMPLATES, cue: str = CUE):
         self.cue = re.compile(cue)
         bare = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
         fmt = zstandard.ZstdCompressionParameters.from_level(19, format=zstandard.FORMAT_ZSTD1_MAGICLESS, **bare)
         self.alone = zstandard.ZstdCompressor(compression_params=fmt)
-        self.templates = []
-        for name, text in templates:
-            raw = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.templates.append((name, words_of(text), zstandard.ZstdCompressor(compression_params=fmt, dict_data=raw)))
-
-    def judge(self, block: str) -> tuple | None:
-        """(license, shrinkage, missing words, added words) of the confirmed template, or None. Of
-        several, the one with the fewest differences, then the longest, then the first."""
-        data = " ".join(block.lower().split()).encode()
-        plain = len(self.alone.compress(data))
-        ranked = sorted(((1 - len(c.compress(data)) / plain, -k) for k, (_, _, c) in enumerate(self.templates)),
-                        reverse=True)[:RANKED]
-        have, best = words_of(block), None
-        for shrinkage, k in ranked:
-            name, want, _ = self.templates[-k]
-            steps = difflib.SequenceMatcher(None, want, have, autojunk=False).get_opcodes()
-            missing = [w for tag, a, b, _, _ in steps if tag in ("delete", "replace") for w in want[a:b]]
-            added = [w for tag, _, _, a, b in steps if tag in ("insert", "replace") for w in have[a:b]]
-            spare = 1 if len(want) >= 5 else 0  # one word of a short notice may differ
-            if len(missing) > max(spare, (1 - MIN_FOUND) * len(want)) or len(added) > MAX_ADDED * len(want):
-                continue
-            rank = (len(missing) + len(added), -len(want), -k)
-            if best is None or rank < best[0]:
-                best = rank, (name, shrinkage, missing, added)
-        return best and best[1]
+        self.vocabulary: dict[str, int] = {}
+        self.templates = [Template(*t, self.vocabulary, fmt) for t in templates]
+        self.known = []
+        for t in self.templates:
+            known = np.zeros(len(self.vocabulary) + 1, np.int64)  # the last place is for unknown words
+            known[t.ids] = 1
+            self.known.append(known)
 
     def scan(self, text: str) -> list[dict]:
-        """Notices of a text: first and last line (from 0), license, words missing and added. Of a
-        paragraph and its single lines, the one that differs less is reported for a license."""
-        lines, hits, begin = text.split("\n"), [], 0
-        for end in range(len(lines) + 1):
-            if end < len(lines) and lines[end].strip():
+        """Notices of a text: first and last line (from 0), license, words missing and added. Blocks
+        reported do not overlap; of equal lines and license the one that differs least is reported."""
+        cues = [m.start() for m in self.cue.finditer(text)]
+        if not cues:
+            return []
+        spans = [m.span() for m in _WORD.finditer(text)]
+        words = [text[a:b].lower() for a, b in spans]
+        starts = [a for a, _ in spans]
+        cued = sorted({max(0, bisect.bisect_right(starts, at) - 1) for at in cues})
+        ids = np.array([self.vocabulary.get(w, -1) for w in words], np.int64)
+        add_cost = np.ones(len(ids), np.int64)
+        present, found = set(words), []
+        for k, t in enumerate(self.templates):
+            if len(t.distinct - present) > t.may_lack:
+                continue
+            for lo, hi in _windows(cued, t.reach, len(words)):
+                if t.dense(ids[lo:hi], self.known[k]):
+                    found += [(k, *hit) for hit in self._blocks(t, words, ids, add_cost, lo, hi)]
+        return self._report(text, spans, found)
+
+    def _blocks(self, t: Template, words, ids, add_cost, lo: int, hi: int) -> list[tuple]:
+        """(first word, end, missing, added) of each confirmed block of a window."""
+        out, todo = [], [(lo, hi)]
+        while todo:
+            lo, hi = todo.pop()
+            if hi - lo < len(t.words) - t.may_lack or (hit := t.align(ids[lo:hi], add_cost[lo:hi])) is None:
                 continue
-            paragraph = range(begin, end)
-            begin = end + 1
-            cued = [k for k in paragraph if self.cue.search(lines[k])]
-            if not cued:
+            first, last, places = lo + hit[0], lo + hit[1], hit[2]
+            todo += [(lo, first), (last + 1, hi)]
+            matched = {lo + p for p in places if p >= 0}
+            head = next(k for k, p in enumerate(places) if p >= 0)
+            tail = next(k for k in range(len(places), 0, -1) if places[k - 1] >= 0)
+            while head and first and _alike(t.words[head - 1], words[first - 1]):
+                head, first = head - 1, first - 1
+            while tail < len(places) and last + 1 < len(words) and _alike(t.words[tail], words[last + 1]):
+                tail, last = tail + 1, last + 1
+            missing = [w for w, p in zip(t.words, places, strict=True) if p < 0]
+            added = [words[k] for k in range(first, last + 1) if k not in matched]
+            if len(missing) <= t.may_lack and len(added) <= t.may_add:
+                out.append((first, last + 1, missing, added))
+        return out
+
+    def _report(self, text: str, spans: list[tuple[int, int]], found: list[tuple]) -> list[dict]:
+        rated = []
+        for k, first, end, missing, added in found:
+            t = self.templates[k]
+            data = " ".join(text[spans[first][0]:spans[end - 1][1]].lower().split()).encode()
+            plain, given = len(self.alone.compress(data)), len(t.compressor.compress(data))
+            explained = len(t.words) - 2 * len(missing) - len(added)
+            rated.append((plain - given, explained, -k, first, end, 1 - given / plain, missing, added))
+        rated.sort(key=lambda x: x[:5], reverse=True)
+        taken, chosen = [], []  # taken: ends of the chosen blocks, sorted by their first word
+        for one in rated:
+            first, end = one[3:5]
+            at = bisect.bisect_right(taken, (first, end))
+            if (at and taken[at - 1][1] > first) or (at < len(taken) and taken[at][0] < end):
+                continue
+            taken.insert(at, (first, end))
+            chosen.append(one)
+        # several templates of the license chosen may explain the same words: the closest is reported
+        by_block, at_of = {(c[3], c[4]): c for c in chosen}, sorted((c[3], c[4]) for c in chosen)
+        for one in rated:
+            at = bisect.bisect_right(at_of, (one[4], -1)) - 1
+            if at < 0 or at_of[at][1] <= one[3]:
                 continue
-            single = [(k, k, found) for k in cued for found in map(self.judge, self.stretches(lines[k])) if found]
-            whole = None
-            if len(paragraph) > 1 and sum(len(lines[k]) for k in paragraph) < 20 * STRETCH_WORDS:
-                whole = self.judge("\n".join(lines[k] for k in paragraph))
-            if whole:
-                differ = lambda found: len(found[2]) + len(found[3])
-                same = [differ(found) for _, _, found in single if found[0] == whole[0]]
-                if not same or differ(whole) < min(same):
-                    single = [(paragraph[0], paragraph[-1], whole)] + [x for x in single if x[2][0] != whole[0]]
-            hits += single
+            now = by_block[at_of[at]]
+            inside = at_of[at][0] <= one[3] and one[4] <= at_of[at][1]
+            if inside and self.templates[-one[2]].name == self.templates[-now[2]].name and one[1] > now[1]:
+                by_block[at_of[at]] = one
+        lines = [m.start() for m in re.finditer("\n", text)]
         out = {}
-        for first, last, (name, shrinkage, missing, added) in hits:
-            now = {"first_line": first, "last_line": last, "license": name,
+        for _, _, k, first, end, shrinkage, missing, added in sorted(by_block.values(), key=lambda x: x[3]):
+            name = self.templates[-k].name
+            now = {"first_line": bisect.bisect_left(lines, spans[first][0]),
+                   "last_line": bisect.bisect_left(lines, spans[end - 1][0]), "license": name,
                    "shrinkage": shrinkage, "missing": missing, "added": added}
-            old = out.setdefault((first, last, name), now)
+            old = out.setdefault((now["first_line"], now["last_line"], name), now)
             if len(missing) + len(added) < len(old["missing"]) + len(old["added"]):
-                out[first, last, name] = now
+                out[now["first_line"], now["last_line"], name] = now
         return list(out.values())
 
-    def stretches(self, line: str) -> Iterator[str]:
-        """The line; a long one in overlapping stretches, and its sentences that hold a cue."""
-        words = line.split()
-        for at in range(0, max(1, len(words) - STRETCH_WORDS // 2), STRETCH_WORDS // 2):
-            yield " ".join(words[at:at + STRETCH_WORDS])
-        sentences = re.split(r"(?<=[.:!?])\s+", line)
-        if len(sentences) > 1:
-            yield from (s for s in sentences if self.cue.search(s))
+
+def _alike(want: str, have: str) -> bool:
+    return difflib.SequenceMatcher(None, want, have, autojunk=False).ratio() >= ALIKE
+
+
+def _windows(cued: list[int], reach: int, n_words: int) -> Iterator[tuple[int, int]]:
+    """Stretches of words that hold every block of up to ``reach`` words with a cue in it."""
+    size = max(WINDOW_WORDS, WINDOW_BLOCKS * reach)
+
+    def cut(lo: int, hi: int) -> Iterator[tuple[int, int]]:
+        while hi - lo > size:
+            yield lo, lo + size
+            lo += size - reach
+        yield lo, hi
+
+    lo = hi = None
+    for at in cued:
+        if hi is not None and at - reach > hi:
+            yield from cut(lo, hi)
+            lo = None
+        if lo is None:
+            lo = max(0, at - reach)
+        hi = min(n_words, at + reach + 1)
+    if lo is not None:
+        yield from cut(lo, hi)
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, cue: str = CUE) -> DataFrame:

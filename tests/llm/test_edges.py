@@ -319,6 +319,27 @@ def test_licenses(spark):
     assert by[6, "CC-BY-4.0"].missing == [] and {r.doc_id for r in got} == {1, 2, 5, 6}
 
 
+
+APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\");\n"
+          "you may not use this file except in compliance with the License.\n"
+          "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n")
+
+
+def test_license_in_a_longer_paragraph():
+    scanner, many = licenses.Scanner(), "Words that say nothing at all. " * 300
+    for text, lines in ((APACHE, (0, 1)), ("\n".join(f"# {x}" for x in APACHE.split("\n")), (0, 1)),
+                        ("Copyright 2020 Someone\n" + APACHE.replace("\n\n", "\n *\n"), (1, 2)),
+                        (many + "\n" + many + "\n" + APACHE + many, (2, 3)),
+                        (many + APACHE.replace("\n", " ") + many, (0, 0))):
+        (hit,) = scanner.scan(text)
+        assert (hit["license"], hit["missing"], hit["added"]) == ("Apache-2.0", [], [])
+        assert (hit["first_line"], hit["last_line"]) == lines
+    mit = licenses.TEMPLATES[1][1].split()
+    wrapped = "\n".join(" * " + " ".join(mit[k:k + 9]) for k in range(0, len(mit), 9))
+    hits = scanner.scan(many + "\n" + wrapped + "\n * " + many + "\nAll rights\nreserved.")
+    assert [(h["license"], h["missing"], h["added"]) for h in hits] == [("MIT", [], []), ("all-rights-reserved", [], [])]
+
+
 def test_word_hashes_over_blocks(monkeypatch):
     import pyarrow as pa
     texts = ["Aa bb\tcc", "", None, "x" * 50 + " y " + "z" * 70, " lead", "é漢 ok " * 30]
