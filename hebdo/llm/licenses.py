@@ -4,7 +4,8 @@ Around every mention of licensing, a window that any block of a template's lengt
 aligned with the template word by word, whatever its lines and paragraphs; words before and after
 the block are free. Each block found is compressed alone and with its template as a zstandard raw
 dictionary. Of blocks that overlap, the one that its template shrinks by most bytes stays, and is
-reported with exactly the words it lacks and adds.
+reported with exactly the words it lacks and adds. Words that identify a license must all be there,
+and none that makes another license of it may be added.
 """
 
 from __future__ import annotations
@@ -22,33 +23,160 @@ from pyspark.sql import functions as F
 
 from hebdo.llm.common import ship_package, text_of
 
-# The wording of common notices, by SPDX identifier.
-TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
-            "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-            "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-            "subject to the following conditions:"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
-                   "in compliance with the License."),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of "
-                         "the GNU General Public License as published by the Free Software Foundation, either "
-                         "version 3 of the License, or (at your option) any later version."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
-                     "License."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met:"),
-    ("all-rights-reserved", "All rights reserved."),
-)
+_WORD = re.compile(r"\w(?:[\w.+-]*[\w+])?")
+
+
+def words_of(text: str) -> list[str]:
+    return [w.lower() for w in _WORD.findall(text)]
+
+
+# The wording of common notices, by SPDX identifier; the words that identify the
+# license, of which none may be missing or replaced; and what may not follow the notice (a regular
+# expression over the next words), because it makes it another license's.
+_OR_LATER = r"or (any |\(?at your option\)? ?)*(later|newer|above|greater|higher)|or at your option|and (any )?later"
+_GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License",
+        "AGPL": "GNU Affero General Public License"}
+_GNU_VERSIONS = (("GPL", "2"), ("GPL", "3"), ("LGPL", "2.1"), ("LGPL", "3"), ("AGPL", "3"))
+_CC = {"": "Attribution", "-NC": "Attribution-NonCommercial", "-SA": "Attribution-ShareAlike",
+       "-ND": "Attribution-NoDerivatives", "-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_BSD_INTRO = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+              "provided that the following conditions are met:")
+_BSD_2 = (_BSD_INTRO + " Redistributions of source code must retain the above copyright notice, this list of "
+          "conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+          "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+          "materials provided with the distribution.")
+_BSD_ADS = (" All advertising materials mentioning features or use of this software must display the following "
+            "acknowledgement: This product includes software developed by the organization.")
+_BSD_NAMES = (" Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+              "promote products derived from this software without specific prior written permission.")
+_MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so")
+_X11 = (", subject to the following conditions: The above copyright notice and this permission notice shall be included "
+        "in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF "
+        "ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+        "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE X CONSORTIUM BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+        "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+        "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. Except as contained in this notice, the name of "
+        "the X Consortium shall not be used in advertising or otherwise to promote the sale, use or other dealings in "
+        "this Software without prior written authorization from the X Consortium.")
+_ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted")
+
+
+def _gnu(kind: str, version: str) -> Iterator[tuple]:
+    name, spdx = _GNU[kind], f"{kind}-{version if '.' in version else version + '.0'}"
+    versions = [version] if "." in version else [version, version + ".0"]
+    adjective = name.split()[1]
+    start = "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    full = start + f"{name} as published by the Free Software Foundation, "
+    yield (f"{spdx}-or-later", f"{full}either version {version} of the License, or (at your option) any later "
+           "version.", f"GNU {adjective} {version} or later")
+    yield f"{spdx}-only", f"{full}version {version} of the License.", f"GNU {adjective} {version}", _OR_LATER
+    yield (f"{spdx}-only", f"{start}{name} version {version} as published by the Free Software Foundation.",
+           f"GNU {adjective} {version}", _OR_LATER)
+    for v in versions:
+        for text in (f"This work is licensed under the {name}, version {v}", f"Licensed under the {name} v{v}"):
+            said = words_of(text)[-1]
+            yield f"{spdx}-only", text + ".", f"GNU {adjective} {said}", _OR_LATER
+            for later in ("or later", "or any later version", "or (at your option) any later version"):
+                yield f"{spdx}-or-later", f"{text} {later}.", f"GNU {adjective} {said} or later"
+    short = f"{kind}v{version}"
+    for the in ("", "the "):
+        yield f"{spdx}-only", f"Licensed under {the}{short}.", short, _OR_LATER
+        yield f"{spdx}-or-later", f"Licensed under {the}{short}+.", short + "+"
+        yield f"{spdx}-or-later", f"Licensed under {the}{short} or later.", f"{short} or later"
+
+
+def _creative_commons(kind: str) -> Iterator[tuple]:
+    for version, port in (("4.0", "International"), ("3.0", "Unported"), ("2.0", "Generic")):
+        spdx, short = f"CC-BY{kind}-{version}", f"CC BY{kind} {version}"
+        for said in {short: 0, f"CC-BY{kind} {version}": 0, short.replace("-", " "): 0, spdx: 0}:
+            yield spdx, f"Licensed under {said}.", said
+        for said in {_CC[kind]: 0, _CC[kind].replace("-", " "): 0, _CC[kind].replace("Derivatives", "Derivs"): 0}:
+            yield (spdx, f"This work is licensed under a Creative Commons {said} {version} {port} License.",
+                   f"Creative Commons {said} {version}")
+
+
+# the words that name a template's license come after its text; texts of one license alone need none
+def _templates() -> Iterator[tuple]:
+    yield "MIT", "Released under the MIT License.", "MIT"
+    yield ("MIT", _MIT + ", subject to the following conditions:", "granted free charge deal restriction subject conditions",
+           r"the above copyright .* except as contained in this notice")
+    yield "MIT-0", _MIT + ".", "granted free charge deal restriction", r"subject"
+    yield "X11", _MIT + _X11, "granted free charge deal restriction subject conditions except advertising"
+    yield "MIT", "This project is licensed under the MIT License.", "MIT"
+    apache = "Apache 2.0"
+    yield "Apache-2.0", "Licensed under the Apache License, Version 2.0.", apache
+    yield ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
+           "except in compliance with the License.", apache)
+    yield "Apache-2.0", "Released under the Apache License 2.0.", apache
+    yield "Apache-2.0", "Licensed under the Apache 2.0 License.", apache
+    for version in ("1.0", "1.1"):
+        yield f"Apache-{version}", f"Licensed under the Apache License, Version {version}.", f"Apache {version}"
+    for kind, version in _GNU_VERSIONS:
+        yield from _gnu(kind, version)
+    yield ("LGPL-2.0-or-later", "This library is free software; you can redistribute it and/or modify it under the "
+           "terms of the GNU Library General Public License as published by the Free Software Foundation; either "
+           "version 2 of the License, or (at your option) any later version.", "GNU Library General 2 or later")
+    for kind in _CC:
+        yield from _creative_commons(kind)
+    yield "CC0-1.0", "Licensed under CC0 1.0.", "CC0 1.0"
+    yield "CC0-1.0", "Licensed under the Creative Commons CC0 1.0 Universal license.", "CC0 1.0"
+    yield "BSD", _BSD_INTRO, "redistribution source binary"  # which BSD license, only the conditions tell
+    yield "BSD-2-Clause", _BSD_2, "redistribution redistributions source binary", \
+        r"(\S+ ){0,3}(neither the name|the names? of|the end-user|all advertising)"
+    yield "BSD-3-Clause", _BSD_2 + _BSD_NAMES, "redistribution redistributions neither names endorse promote"
+    yield ("BSD-4-Clause", _BSD_2 + _BSD_ADS + _BSD_NAMES,
+           "redistribution redistributions advertising acknowledgement neither names endorse promote")
+    yield "BSD", "Released under the BSD License.", "BSD"
+    yield "BSD", "Licensed under a BSD-style license.", "BSD-style"
+    for spdx, names in (("BSD-2-Clause", ("2-clause", "simplified")), ("BSD-3-Clause", ("3-clause", "new", "revised",
+                        "modified")), ("BSD-4-Clause", ("4-clause", "original"))):
+        for name in names:
+            yield spdx, f"Released under the {name} BSD License.", f"BSD {name}"
+        yield spdx, f"Licensed under the BSD {names[0]} License.", f"BSD {names[0]}"
+        yield spdx, f"Licensed under the {spdx} license.", spdx
+    yield ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+           "Mozilla 2.0")
+    yield "MPL-2.0", "Licensed under the Mozilla Public License, version 2.0.", "Mozilla 2.0"
+    yield "MPL-1.1", "Licensed under the Mozilla Public License, version 1.1.", "Mozilla 1.1"
+    yield ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse "
+           "Public License 2.0.", "Eclipse 2.0")
+    yield ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse "
+           "Public License v1.0.", "Eclipse v1.0")
+    yield "ISC", "Released under the ISC License.", "ISC"
+    yield ("ISC", _ISC + ", provided that the above copyright notice and this permission notice appear in all copies.",
+           "permission granted provided appear")
+    yield "0BSD", _ISC + ".", "permission granted", r"provided"
+    yield ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial "
+           "applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+           "anyone alter freely restrictions")
+    yield ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.", "Boost 1.0")
+    yield ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered public domain")
+    yield ("Artistic-2.0", "Licensed under the Artistic License 2.0.", "Artistic 2.0")
+    yield "all-rights-reserved", "All rights reserved.", "rights reserved"
+
+
+#: SPDX identifiers that a tag may name, with those that SPDX has renamed since.
+SPDX = {s.lower(): s for s in """0BSD AFL-3.0 Apache-1.0 Apache-1.1 Apache-2.0 Artistic-1.0 Artistic-2.0 BSD-1-Clause
+    BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-4-Clause BSL-1.0 BUSL-1.1 CC0-1.0 CDDL-1.0
+    CDDL-1.1 CECILL-2.1 ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.1 EUPL-1.2 ISC LPPL-1.3c MIT MIT-0 MPL-1.0 MPL-1.1 MPL-2.0
+    MS-PL MS-RL MulanPSL-2.0 NCSA ODbL-1.0 OFL-1.1 OpenSSL OSL-3.0 PHP-3.01 PostgreSQL PSF-2.0 Python-2.0 Ruby
+    SSPL-1.0 Unicode-DFS-2016 Unlicense UPL-1.0 Vim W3C WTFPL X11 Zlib ZPL-2.1""".split()}
+SPDX |= {f"cc-by{k}-{v}".lower(): f"CC-BY{k}-{v}" for k in _CC for v in ("1.0", "2.0", "2.5", "3.0", "4.0")}
+for _name in ("GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-1.0", "AGPL-3.0"):
+    for _end, _now in (("", "-only"), ("-only", "-only"), ("+", "-or-later"), ("-or-later", "-or-later")):
+        SPDX[(_name + _end).lower()] = _name + _now
+#: Words that make another license of a notice they are added to.
+QUALIFIERS = frozenset("""nc sa nd noncommercial non-commercial sharealike share-alike noderivatives noderivs
+    no-derivatives lesser library affero lgpl agpl 0-clause 1-clause 2-clause 3-clause 4-clause clear patent mit-0 0bsd""".split())
+TEMPLATES = tuple(_templates())
 #: Blocks that mention none of these are no notice (a notice may be wrapped at any space).
-CUE = (r"(?i)licen[cs]|copyright|rights\W+reserved|redistribut|permission\W+is\W+hereby|creative\W+commons"
-       r"|\bcc[ -]by")
+CUE = (r"(?i)licen[cs]|copyright|rights\W+reserved|redistribut|permission\W+(?:is|to)\b|creative\W+commons"
+       r"|\bcc[ -]?(?:by|0)|\b[al]?gplv|\bunencumbered")
 #: Confirmed if at least this share of the template's words is there in order, and at most so
 #: many other words, relative to the template, are added.
 MIN_FOUND, MAX_ADDED = 0.85, 0.25
@@ -58,21 +186,21 @@ ALIKE = 0.7
 #: windows that overlap by a block.
 WINDOW_WORDS, WINDOW_BLOCKS = 400, 6
 
-_WORD = re.compile(r"\w(?:[\w.+-]*[\w+])?")
+_TAG = re.compile(r"(?i)SPDX-License-Identifier:[ \t]*([^\r\n]*)")
+_EXPRESSION_WORD = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+-]*")
 _NEVER = 1 << 20  # the cost of a difference that rules a block out
 
 
-def words_of(text: str) -> list[str]:
-    return [w.lower() for w in _WORD.findall(text)]
-
-
 class Template:
-    def __init__(self, name: str, text: str, vocabulary: dict[str, int], fmt):
-        self.name, self.words = name, words_of(text)
+    def __init__(self, name: str, text: str, must: str, not_after: str, vocabulary: dict[str, int], fmt):
+        self.name, self.words, self.must = name, words_of(text), set(words_of(must))
         n = len(self.words)
+        if not self.must <= set(self.words):
+            raise ValueError(f"identifying words that the template lacks: {must!r}, {text!r}")
+        self.not_after = re.compile(not_after) if not_after else None
         self.ids = [vocabulary.setdefault(w, len(vocabulary)) for w in self.words]
         self.distinct = set(self.words)
-        self.miss_cost = [1] * n
+        self.miss_cost = [_NEVER if w in self.must else 1 for w in self.words]
         self.may_lack = max(1 if n >= 5 else 0, int((1 - MIN_FOUND) * n + 1e-9))  # one word of a short notice
         self.may_add = int(MAX_ADDED * n + 1e-9)
         self.reach = n + self.may_add + 1
@@ -116,9 +244,11 @@ class Scanner:
         self.cue = re.compile(cue)
         bare = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
         fmt = zstandard.ZstdCompressionParameters.from_level(19, format=zstandard.FORMAT_ZSTD1_MAGICLESS, **bare)
+        self.fmt = fmt
         self.alone = zstandard.ZstdCompressor(compression_params=fmt)
         self.vocabulary: dict[str, int] = {}
-        self.templates = [Template(*t, self.vocabulary, fmt) for t in templates]
+        # (name, text), (name, text, identifying words) or (name, text, identifying words, not after)
+        self.templates = [Template(*t, *("",) * (4 - len(t)), self.vocabulary, fmt) for t in templates]
         self.known = []
         for t in self.templates:
             known = np.zeros(len(self.vocabulary) + 1, np.int64)  # the last place is for unknown words
@@ -136,15 +266,29 @@ class Scanner:
         starts = [a for a, _ in spans]
         cued = sorted({max(0, bisect.bisect_right(starts, at) - 1) for at in cues})
         ids = np.array([self.vocabulary.get(w, -1) for w in words], np.int64)
-        add_cost = np.ones(len(ids), np.int64)
+        add_cost = np.array([_NEVER if w in QUALIFIERS else 1 for w in words], np.int64)
         present, found = set(words), []
         for k, t in enumerate(self.templates):
-            if len(t.distinct - present) > t.may_lack:
+            if not t.must <= present or len(t.distinct - present) > t.may_lack:
                 continue
             for lo, hi in _windows(cued, t.reach, len(words)):
                 if t.dense(ids[lo:hi], self.known[k]):
                     found += [(k, *hit) for hit in self._blocks(t, words, ids, add_cost, lo, hi)]
-        return self._report(text, spans, found)
+        return self._tags(text) + self._report(text, spans, found)
+
+    def _tags(self, text: str) -> list[dict]:
+        """The licenses that SPDX tags name: a row for each of an expression."""
+        out = {}
+        for tag in _TAG.finditer(text):
+            line, data = text.count("\n", 0, tag.start()), " ".join(tag.group().lower().split()).encode()
+            for name in _EXPRESSION_WORD.findall(re.sub(r"(?i)\bWITH\s+\S+", " ", tag.group(1))):
+                if spdx := SPDX.get(name.lower()):
+                    raw = zstandard.ZstdCompressionDict(f"spdx-license-identifier: {name.lower()}".encode(),
+                                                        dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                    given = zstandard.ZstdCompressor(compression_params=self.fmt, dict_data=raw).compress(data)
+                    out[line, spdx] = {"first_line": line, "last_line": line, "license": spdx, "missing": [], "added": [],
+                                       "shrinkage": 1 - len(given) / len(self.alone.compress(data))}
+        return list(out.values())
 
     def _blocks(self, t: Template, words, ids, add_cost, lo: int, hi: int) -> list[tuple]:
         """(first word, end, missing, added) of each confirmed block of a window."""
@@ -164,6 +308,8 @@ class Scanner:
                 tail, last = tail + 1, last + 1
             missing = [w for w, p in zip(t.words, places, strict=True) if p < 0]
             added = [words[k] for k in range(first, last + 1) if k not in matched]
+            if t.not_after and t.not_after.match(" ".join(words[last + 1:last + 150])):
+                continue
             if len(missing) <= t.may_lack and len(added) <= t.may_add:
                 out.append((first, last + 1, missing, added))
         return out

@@ -340,6 +340,39 @@ def test_license_in_a_longer_paragraph():
     assert [(h["license"], h["missing"], h["added"]) for h in hits] == [("MIT", [], []), ("all-rights-reserved", [], [])]
 
 
+
+def test_license_names_are_not_swapped():
+    scanner = licenses.Scanner()
+    gpl2 = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+            "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+            "option) any later version.")
+    two = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+           "the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright "
+           "notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must "
+           "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+           "documentation and/or other materials provided with the distribution.\n")
+    three = two + ("\n3. Neither the name of Example Org nor the names of its contributors may be used to endorse or promote "
+                   "products derived from this software without specific prior written permission.\n")
+    gpl3 = "This work is licensed under the GNU General Public License, version 3"
+    for text, want in (
+            ("Released under the BSD License.", ["BSD"]), ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]),
+            (gpl3.replace("3", "2") + ".", ["GPL-2.0-only"]), (gpl2, ["GPL-2.0-or-later"]), (two, ["BSD-2-Clause"]),
+            (three, ["BSD-3-Clause"]), (gpl3 + ", or any later version.", ["GPL-3.0-or-later"]),
+            (gpl3.replace("General", "Lesser General"), ["LGPL-3.0-only"]), ("Licensed under GPLv3+", ["GPL-3.0-or-later"]),
+            ("Licensed under the Foo License, Version 2.0.", []), ("Released under the Foo License.", []),
+            ("This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License.",
+             ["CC-BY-NC-4.0"]),
+            ("// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0+", ["MIT", "Apache-2.0", "GPL-2.0-or-later"])):
+        assert [h["license"] for h in scanner.scan(text)] == want, text
+
+
+def test_each_template_is_found_as_itself():
+    scanner = licenses.Scanner()
+    for name, text, *_ in licenses.TEMPLATES:
+        hits = scanner.scan(f"Words before.\n{text}\nWords after.")
+        assert [(h["license"], h["missing"], h["added"]) for h in hits] == [(name, [], [])], text
+
+
 def test_word_hashes_over_blocks(monkeypatch):
     import pyarrow as pa
     texts = ["Aa bb\tcc", "", None, "x" * 50 + " y " + "z" * 70, " lead", "é漢 ok " * 30]
