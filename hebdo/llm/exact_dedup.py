@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hebdo.llm.common import ship_package, squeezed, text_of, written
+from hebdo.session import forget_on_exit, scratch_path, unique_suffix
 
 #: Cells per row and cells looked at per row: about 0.24 % of unrepeated rows are shuffled.
 CELLS_PER_ROW = 16
@@ -126,21 +127,28 @@ def member_filter(members: DataFrame, column: str, max_cells: int = MAX_CELLS) -
 
 def flag_repeated(hashed: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
     """``hashed`` (with a long column bloom_hash) plus bloom_repeated: false only where no
-    other row has the hash. Only the hash goes through Python."""
+    other row has the hash. Only the hash goes through Python. With several ranges the rows are
+    written twice: dealt out by range, and with their flags."""
     ship_package(hashed.sparkSession)
     n_rows = hashed.select("bloom_hash").count()
     ranges = max(1, math.ceil(n_rows * CELLS_PER_ROW / max_cells))
     n_cells = max(1024, math.ceil(n_rows * CELLS_PER_ROW / ranges))
-    if ranges > 1:  # each range then reads its own files alone
-        hashed = written(hashed.withColumn("bloom_range", F.pmod("bloom_hash", F.lit(ranges)).cast("int")),
-                         "bloom-ranges", ["bloom_range"])
-    out = None
-    for r in range(ranges):
-        part = hashed.filter(F.col("bloom_range") == r).drop("bloom_range") if ranges > 1 else hashed
+    if ranges == 1:
+        bits = filter_bits(hashed.select("bloom_hash"), n_cells, "twice")
+        return hashed.withColumn("bloom_repeated", look_up(bits, n_cells))
+    # each range then reads its own files alone
+    hashed = written(hashed.withColumn("bloom_range", F.pmod("bloom_hash", F.lit(ranges)).cast("int")),
+                     "bloom-ranges", ["bloom_range"])
+    spark = hashed.sparkSession
+    path = scratch_path(spark, "llm", f"bloom-flagged-{unique_suffix()}")
+    for r in range(ranges):  # a range's rows are written before the next filter is built: one filter at a time
+        part = hashed.filter(F.col("bloom_range") == r).drop("bloom_range")
         bits = filter_bits(part.select("bloom_hash"), n_cells, "twice")
         flagged = part.withColumn("bloom_repeated", look_up(bits, n_cells))
-        out = flagged if out is None else out.unionByName(flagged)
-    return out
+        flagged.write.mode("append").parquet(path)
+        forget_on_exit(spark, path)
+        bits.destroy()
+    return spark.read.schema(flagged.schema).parquet(path)
 
 
 def text_sha256(text: Column) -> Column:

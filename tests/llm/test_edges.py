@@ -109,6 +109,23 @@ def test_bloom_filter_lets_no_repeat_through(spark):
     assert flagged.filter("n = 1 AND hi").count() < 0.05 * 10_000
 
 
+def test_one_bloom_filter_at_a_time(spark, monkeypatch):
+    built, alive, build = [], [], exact_dedup.filter_bits
+
+    def counted(*args):
+        alive.append(sum(b._jbroadcast.isValid() for b in built))
+        built.append(build(*args))
+        return built[-1]
+
+    monkeypatch.setattr(exact_dedup, "filter_bits", counted)
+    hashed = spark.range(9_000).select("id", F.xxhash64(F.col("id") % 6_000).alias("bloom_hash"))
+    flagged = exact_dedup.flag_repeated(hashed, max_cells=1 << 15)
+    assert alive == [0] * 5 and not any(b._jbroadcast.isValid() for b in built)
+    got = {r.id: r.bloom_repeated for r in flagged.collect()}
+    assert len(got) == 9_000 and all(got[i] for i in got if i % 6_000 < 3_000)
+    assert sum(got[i] for i in range(3_000, 6_000)) < 150
+
+
 def test_near_groups(results):
     got = {str(r.doc_id): (r.n_shingles, r.component_id, r.kept) for r in results["near"]}
     assert got["1"] == (3, 1, True) and got["2"] == (3, 1, False) and got["None"] == (3, 1, False)
