@@ -210,3 +210,16 @@ def test_ingest_jobs_and_stream(spark):
                                                       ("value", "units", "parameter", "location_id", "longitude", "latitude")])
     npm = jobs.ingest_pm25_docs(spark, P.pm25_pages_from_raw(daily), f"{root}/pm25")
     assert npm == daily.count()
+
+
+def test_pages_without_rows_are_quarantined(spark):
+    from hebdo.operators import jobs
+    root = S.run_folder(spark, "test-no-results")
+    texts = ["not json", '{"detail":"Too many requests"}', "42", "[1]", '{"results":null}', '{"results":[]}', '{"data":[]}',
+             '{"data":[{"value":1}]}', None, "", "4703 words after a number"]
+    pages = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "sensor_id long, value string")
+    assert jobs.ingest_pm25_docs(spark, pages, f"{root}/pm25", f"{root}/quarantine") == 0
+    got = [(r.reason, r.document) for r in spark.read.parquet(f"{root}/quarantine").collect()]
+    assert sorted(t for reason, t in got if reason == "NO_RESULTS") == sorted(texts[1:5])
+    assert {t for reason, t in got if reason == "NOT_JSON"} == {"not json", None, "", texts[-1]}
+    assert [reason for reason, _ in got if reason not in ("NO_RESULTS", "NOT_JSON")] == ["NO_TIMESTAMP"]
