@@ -85,7 +85,9 @@ def q_missing_dates(spark, sf_dir):
     "fx_existing_days", "fx_points"))
 def q_date_islands(spark, sf_dir):
     """Contiguous runs of loaded days per point."""
-    return gaps.islands(_days(spark, sf_dir), ["point_id"], "date", 1)
+    apply_engine_conf(spark)
+    loaded = fixture(spark, sf_dir, "fx_existing_days").select("point_id", "date").distinct()
+    return gaps.islands(loaded, ["point_id"], "date", 1)
 
 
 _WIN_SPINE = f"""pts AS (SELECT point_id FROM fx_points),
@@ -113,7 +115,9 @@ def q_missing_date_ranges(spark, sf_dir):
     "fx_existing_weeks", "fx_regions"))
 def q_week_islands(spark, sf_dir):
     """Contiguous runs of loaded ISO weeks per region (consecutive across year ends)."""
-    return gaps.islands(_weeks(spark, sf_dir), ["region"], "week_start", 7)
+    apply_engine_conf(spark)
+    loaded = fixture(spark, sf_dir, "fx_existing_weeks").select("region", "week_start").distinct()
+    return gaps.islands(loaded, ["region"], "week_start", 7)
 
 
 WEEK_MISSING = f"""regs AS (SELECT region FROM fx_regions),

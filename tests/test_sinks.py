@@ -223,3 +223,12 @@ def test_pages_without_rows_are_quarantined(spark):
     assert sorted(t for reason, t in got if reason == "NO_RESULTS") == sorted(texts[1:5])
     assert {t for reason, t in got if reason == "NOT_JSON"} == {"not json", None, "", texts[-1]}
     assert [reason for reason, _ in got if reason not in ("NO_RESULTS", "NOT_JSON")] == ["NO_TIMESTAMP"]
+
+
+def test_islands_hold_keys_outside_the_run_range(spark, monkeypatch):
+    from hebdo.plans import q_gaps
+    queries = (q_gaps.q_date_islands, q_gaps.q_week_islands)
+    want = [sorted(map(str, q(spark, "/root/testdata/sf0.001").collect())) for q in queries]
+    monkeypatch.setattr(q_gaps, "RUN_START", "1997-01-01")
+    monkeypatch.setattr(q_gaps, "RUN_END", "1997-12-31")
+    assert [sorted(map(str, q(spark, "/root/testdata/sf0.001").collect())) for q in queries] == want
