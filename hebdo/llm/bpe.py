@@ -376,9 +376,15 @@ class Decoder:
         for k in range(0, len(ids), at_once):
             yield b"".join(map(self.token.__getitem__, ids[k:k + at_once].tolist()))
 
-    def text(self, packed: bytes, at_once: int = PIECES_AT_ONCE) -> str:
+    def stream(self, packed: bytes, at_once: int = PIECES_AT_ONCE) -> Iterator[str]:
+        """The characters of packed ids, as far as each chunk completes them."""
         stream = Utf8Stream()
-        return "".join([stream.feed(c) for c in self.chunks(packed, at_once)]) + stream.end()
+        for chunk in self.chunks(packed, at_once):
+            yield stream.feed(chunk)
+        yield stream.end()
+
+    def text(self, packed: bytes, at_once: int = PIECES_AT_ONCE) -> str:
+        return "".join(self.stream(packed, at_once))
 
 
 _LOADED: dict[tuple[str, str], tuple[Encoder, Decoder]] = {}
@@ -409,7 +415,8 @@ def _let_go_when_idle() -> None:
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked, ids
-    (packed little-endian 32-bit). The ids are decoded again for decoded_sha256.
+    (packed little-endian 32-bit). The ids are decoded again, through
+    the UTF-8 stream, for decoded_sha256: the hash of the characters it emits.
 
     Null text counts as empty: no tokens, the hash of no bytes. Repeated rows give repeated
     rows; other columns are not read; an empty table gives none. ``path`` must name the same
@@ -427,8 +434,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
                 n.append(len(packed) // 4)
                 ids_sha.append(hashlib.sha256(packed).hexdigest())
                 decoded = hashlib.sha256()
-                for chunk in decoder.chunks(packed):
-                    decoded.update(chunk)
+                for characters in decoder.stream(packed):
+                    decoded.update(characters.encode())
                 text_sha.append(decoded.hexdigest())
                 if with_ids:
                     ids.append(packed)

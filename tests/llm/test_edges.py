@@ -2,9 +2,11 @@
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from hebdo.llm import (
     bpe, chat, exact_dedup, licenses, minhash, mixing, qda, quality_rules, substring_dedup, textbytes, warc,
@@ -237,6 +239,25 @@ def test_utf8_stream_cut_anywhere():
         assert text == data.decode("utf-8", "replace")
 
 
+def test_decoded_hash_is_of_streamed_characters(monkeypatch):
+    fed, feed = [], bpe.Utf8Stream.feed
+    monkeypatch.setattr(bpe.Utf8Stream, "feed", lambda self, chunk: fed.append(len(chunk)) or feed(self, chunk))
+    runs = []
+
+    class Docs:  # stands for the frame: its function runs in this process
+        sparkSession, schema = None, {"doc_id": type("Field", (), {"dataType": LongType()})}
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: runs.append(run)
+
+    monkeypatch.setattr(bpe, "ship_package", lambda _: None)
+    bpe.encode_documents(Docs(), *BPE)
+    texts = ["é漢字🙂 ok " * 9, None, "a"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2, 3], pa.int64()), "text": texts})
+    (out,) = runs[0](iter([batch]))
+    assert out.column("decoded_sha256").to_pylist() == [hashlib.sha256((t or "").encode()).hexdigest() for t in texts]
+    assert sum(fed) == sum(len((t or "").encode()) for t in texts)
+
+
 def test_ids_decode_to_the_text(spark):
     docs = spark.createDataFrame(DOCS, SCHEMA)
     ids = bpe.encode_documents(docs, *BPE, with_ids=True)
