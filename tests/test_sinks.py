@@ -232,3 +232,14 @@ def test_islands_hold_keys_outside_the_run_range(spark, monkeypatch):
     monkeypatch.setattr(q_gaps, "RUN_START", "1997-01-01")
     monkeypatch.setattr(q_gaps, "RUN_END", "1997-12-31")
     assert [sorted(map(str, q(spark, "/root/testdata/sf0.001").collect())) for q in queries] == want
+
+
+def test_a_run_with_a_failed_step_fails(spark):
+    from hebdo.operators import jobs
+    spark.range(3).createOrReplaceTempView("three_rows")
+    good = ("good", lambda: "three_rows")
+    assert [r.rows for r in jobs.run_job(spark, [good, ("verify", lambda: "three_rows", True)]).collect()] == [3, 3]
+    with pytest.raises(jobs.JobFailed, match="failed steps: bad, verify$") as failed:
+        jobs.run_job(spark, [good, ("bad", lambda: "no_such_table"), ("later", lambda: "three_rows"),
+                             ("verify", lambda: "three_rows", True)])
+    assert [r.ok for r in failed.value.status.collect()] == [True, False, True, False]
