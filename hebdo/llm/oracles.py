@@ -110,3 +110,17 @@ SELECT v.conv_id, any_value(n_turns), any_value(copy_of), true, (pos - 1) // 256
                   || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY pos)
 FROM v JOIN t ON v.conv_id IS NOT DISTINCT FROM t.conv_id WHERE kept GROUP BY v.conv_id, (pos - 1) // 256
 """
+
+ORACLES["op13_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+s AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+d AS (SELECT k.*, s.key IS NOT NULL AND k.doc_id != s.first AS dropped FROM k LEFT JOIN s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+"""

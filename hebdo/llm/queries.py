@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.llm import (
-    bpe, chat, exact_dedup, licenses, minhash, mixing, qda, quality_rules, substring_dedup, warc,
+    bpe, chat, exact_dedup, licenses, line_dedup, minhash, mixing, qda, quality_rules, substring_dedup, warc, whitening,
 )
 from hebdo.llm.common import table
 from hebdo.llm.oracles import ORACLES  # noqa: F401 - read by the entry module
@@ -87,3 +87,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "first_line", "last_line", "license",
                         F.array_join("missing", " ").alias("missing"), F.array_join("added", " ").alias("added"))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's first four whitened components, a row for each."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.select("vec_id", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "identity_error", F.posexplode(
+        F.arrays_zip("whitened", "explained")).alias("at", "of")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error")
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, those it loses to a smaller doc_id, and what remains."""
+    cut = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"))
+    return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
