@@ -111,6 +111,42 @@ SELECT v.conv_id, any_value(n_turns), any_value(copy_of), true, (pos - 1) // 256
 FROM v JOIN t ON v.conv_id IS NOT DISTINCT FROM t.conv_id WHERE kept GROUP BY v.conv_id, (pos - 1) // 256
 """
 
+ORACLES["op12_filter_audit"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (
+  SELECT t.doc_id, part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic, {
+           'A': len(words) < 100, 'B': 100 * len(list_distinct(words)) < 80 * len(words),
+           'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+           'D': regexp_matches(text, '[#$%&*|]'),
+           'E': t.doc_id > min(t.doc_id) OVER (PARTITION BY text)} AS x
+  FROM t LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id) l
+    ON t.doc_id = l.doc_id),
+p AS (SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda c:
+        CASE c WHEN 'A' THEN x.A WHEN 'B' THEN x.B WHEN 'C' THEN x.C WHEN 'D' THEN x.D ELSE x.E END) AS fails FROM f),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM p GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT a.c || b.c || d.c || e.c || g.c AS filter_order, [a.c, b.c, d.c, e.c, g.c] AS seq
+      FROM letters a, letters b, letters d, letters e, letters g
+      WHERE len(list_distinct([a.c, b.c, d.c, e.c, g.c])) = 5),
+s AS (SELECT filter_order, step, seq[step] AS this, seq[1:step - 1] AS earlier FROM o, range(1, 6) r(step)),
+r AS (
+  SELECT part, filter_order, step, this,
+         sum(n) FILTER (NOT list_has_any(fails, list_append(earlier, this))) AS kept,
+         sum(n) FILTER (list_contains(fails, this) AND NOT list_has_any(fails, earlier)) AS removed,
+         sum(n) FILTER (list_contains(fails, this) AND list_has_any(fails, earlier)) AS redundant,
+         sum(n) FILTER (fails = [this]) AS unique_fails,
+         sum(good) FILTER (list_contains(fails, this) AND NOT list_has_any(fails, earlier)) AS good_lost,
+         sum(toxic) FILTER (list_contains(fails, this) AND NOT list_has_any(fails, earlier)) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, this), 0)::BIGINT AS shapley
+FROM r
+"""
+
 ORACLES["op13_line_dedup"] = r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hebdo.llm import (
-    bpe, chat, exact_dedup, licenses, line_dedup, minhash, mixing, qda, quality_rules, substring_dedup, warc, whitening,
+    bpe, chat, exact_dedup, filter_audit, licenses, line_dedup, minhash, mixing, qda, quality_rules, substring_dedup, warc,
+    whitening,
 )
 from hebdo.llm.common import table
 from hebdo.llm.oracles import ORACLES  # noqa: F401 - read by the entry module
@@ -98,6 +99,12 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error")
 
 
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, those it loses to a smaller doc_id, and what remains."""
