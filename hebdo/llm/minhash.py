@@ -8,10 +8,13 @@
    star, and each class is also paired with its nearest one: at most two candidates a member.
 3. Candidates are compared on the full shingle sets, with integers; links give components.
 4. A star can miss a link between two of its points. So, for buckets that still hold several
-   components, pairs across components are compared too, unless the signatures rule them out or
+   components, pairs across components are looked at too, unless the signatures rule them out or
    what the two share with the hub does: sets that differ from the hub's in unlike amounts
-   cannot be close to each other. A bucket of one component needs no more pairs. Very large
-   buckets are dealt out as pairs of blocks. Nothing is capped.
+   cannot be close to each other. A bucket of one component needs no more pairs. What stays
+   plausible joins classes to families over all buckets, and a family's members are compared on full
+   sets inside tasks: a set is moved once per block of its family, not per bucket, and no pair is
+   emitted that isn't needed to join what is linked. Large buckets are dealt out as pairs of blocks of
+   bounded rows, large families as pairs of blocks of bounded bytes. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -33,8 +36,12 @@ BINS = 128
 ROWS_PER_BAND = 4  # 32 bands: a pair at 0.75 shares no bucket with probability 5e-6
 #: Pairs whose estimate is so many standard deviations below the threshold are ruled out.
 SIGMAS = 4.0
-#: Members of a bucket that one task compares at a time.
-BLOCK = 512
+#: Members of a bucket whose signatures one task compares at a time.
+BLOCK = 1024
+#: Bytes of shingle sets in a block; two blocks meet in a task.
+SET_BYTES = 8 << 20
+#: Groups that the partners of one hub are dealt out to.
+SHARDS = 64
 
 _EDGES = (np.arange(BINS, dtype=U) << U(57))
 _DRAWS = np.random.default_rng(77).integers(0, BINS, (8192, BINS), dtype=np.int64)
@@ -140,8 +147,8 @@ def _signatures(sigs: tuple[bytes, ...]) -> np.ndarray:
 
 def hubs_and_nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (group, bucket, class_id, n_shingles, sig) sorted by group -> bucket, a, b, weight: the
-    most central class of each group (b null, weight its mean agreement) and each class with
-    its nearest one that is plausible."""
+    most central class of each group (b null, weight its mean agreement) and each class (a) with
+    its nearest one that is plausible (b)."""
     buckets, a, b, weights = [], [], [], []
     schema = pa.schema([("bucket", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("weight", pa.float64())])
     for _, (bucket, ids, n, sigs) in _groups(batches):
@@ -153,9 +160,9 @@ def hubs_and_nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             agree[~_plausible(agree, n[i], n)] = -1
             agree[i] = -1
             if agree.max() >= 0:
-                nearest.add(tuple(sorted((i, int(agree.argmax())))))
+                nearest.add((i, int(agree.argmax())))
         hub = int(total.argmax())
-        for x, y, w in [(ids[hub], None, total[hub] / len(n)), *((ids[i], ids[j], 0.0) for i, j in nearest)]:
+        for x, y, w in [(ids[hub], None, total[hub] / len(n)), *((ids[i], ids[j], 0.0) for i, j in sorted(nearest))]:
             buckets.append(bucket[0]), a.append(x), b.append(y), weights.append(w)
         if len(a) > 10_000:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((buckets, a, b, weights), schema.types, strict=True)], schema=schema)
@@ -166,9 +173,8 @@ def hubs_and_nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _cross(n, sig, side, comp, common) -> Iterator[tuple[int, np.ndarray]]:
     """Member and later members of other components (and of the other block, where two meet) that
     it can be linked with. ``common`` is how many shingles a class shares with the bucket's
-    hub: two classes share at most what both can inside the hub's set and outside it."""
-    numbers = {c: k for k, c in enumerate(set(comp))}
-    comp, n, side, common = np.array([numbers[c] for c in comp]), np.array(n), np.array(side, dtype=bool), np.array(common)
+    hub: two classes share at most what both can inside the hub's set and outside it. ``comp`` holds
+    numbers; the caller may join some of them between two members."""
     two = side.any() and not side.all()
     for i in range(len(n) - 1):
         j = np.flatnonzero((comp[i + 1:] != comp[i]) & (side[i + 1:] != side[i] if two else True)) + i + 1
@@ -179,55 +185,67 @@ def _cross(n, sig, side, comp, common) -> Iterator[tuple[int, np.ndarray]]:
             yield i, j
 
 
-CROSS = "grp long, class_id binary, n_shingles long, sig binary, side boolean, comp binary, common long"
+def _joined(comp: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """Join the components of ``others`` with that of ``i`` (in place); one of ``others`` for each
+    component that was another."""
+    numbers, at = np.unique(comp[others], return_index=True)
+    new = numbers != comp[i]
+    comp[np.isin(comp, numbers[new])] = comp[i]
+    return others[at[new]]
 
 
-def plausible_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of CROSS sorted by group -> those with a plausible link across components."""
-    types = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.int64()]
-    names = [c.split()[0] for c in CROSS.split(", ")]
-    rows: list[tuple] = []
-    batch = lambda: pa.RecordBatch.from_arrays(
-        [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
-    for group, columns in _groups(batches):
-        ids, n, sigs, side, comp, common = columns
-        keep = set()
-        for i, j in _cross(n, _signatures(sigs), side, comp, common):
-            keep |= {i, *j.tolist()}
-        rows += [(group, *[c[k] for c in columns]) for k in sorted(keep)]
-        if len(rows) > 5_000:
-            yield batch()
-            rows = []
-    yield batch()
+def _edges(a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pa.array([min(x, y) for x, y in zip(a, b, strict=True)], pa.binary()),
+                                       "b": pa.array([max(x, y) for x, y in zip(a, b, strict=True)], pa.binary())})
+
+
+def _columns(columns: list) -> tuple:
+    """The columns of a group as arrays: ids, n, signatures, side, component numbers, common."""
+    ids, n, sigs, side, comp, common = columns[:6]
+    return (ids, np.array(n), _signatures(sigs), np.array(side, dtype=bool),
+            np.unique(np.array(comp, dtype=object), return_inverse=True)[1], np.array(common))
+
+
+MEMBERS = "grp long, class_id binary, n_shingles long, sig binary, side boolean, comp binary, common long"
+
+
+def plausible_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of MEMBERS sorted by group -> a, b: plausible pairs across components, as many as
+    join what plausible pairs join (a forest, not every pair)."""
+    a, b = [], []
+    for _, columns in _groups(batches):
+        ids, n, sig, side, comp, common = _columns(columns)
+        tree = np.arange(len(n))
+        for i, js in _cross(n, sig, side, comp, common):
+            for j in _joined(tree, i, js):
+                a.append(ids[i]), b.append(ids[j])
+        if len(a) > 10_000:
+            yield _edges(a, b)
+            a, b = [], []
+    yield _edges(a, b)
 
 
 def cross_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of CROSS and shingles, sorted by group -> a, b: links across components, as many as
-    join what is linked (a forest, not every link)."""
+    """Rows of MEMBERS and shingles, sorted by group -> a, b: links across components, as many as
+    join what is linked (a forest, not every link). Each member is counted against all it may be
+    linked with at once."""
     a, b = [], []
-    for _, (ids, n, sigs, side, comp, common, shingles) in _groups(batches):
-        sets = list(shingles)
-        starts = np.cumsum([0, *map(len, sets)])
-        _, every = np.unique(np.concatenate(sets), return_inverse=True)
-        mark = np.zeros(every.max() + 1, dtype=bool)
-        root = {c: c for c in comp}
-
-        def find(c, root=root):
-            while root[c] != c:
-                root[c] = c = root[root[c]]
-            return c
-
-        for i, js in _cross(n, _signatures(sigs), side, comp, common):
-            mine = every[starts[i]:starts[i + 1]]
+    for _, columns in _groups(batches):
+        ids, n, sig, side, comp, common = _columns(columns)
+        ends = np.cumsum(n)
+        every = np.unique(np.concatenate(columns[6]), return_inverse=True)[1].astype(np.int32)
+        mark = np.zeros(int(every.max()) + 1, dtype=bool)
+        for i, js in _cross(n, sig, side, comp, common):
+            mine = every[ends[i] - n[i]:ends[i]]
             mark[mine] = True
-            for j in js.tolist():
-                if find(comp[i]) != find(comp[j]):
-                    shared = int(mark[every[starts[j]:starts[j + 1]]].sum())
-                    if 100 * shared >= PERCENT * (len(sets[i]) + len(sets[j]) - shared):
-                        root[find(comp[i])] = find(comp[j])
-                        a.append(min(ids[i], ids[j])), b.append(max(ids[i], ids[j]))
+            if 4 * len(js) > len(n):
+                shared = np.add.reduceat(mark[every], ends - n, dtype=np.int64)[js]
+            else:
+                shared = np.array([np.count_nonzero(mark[every[ends[j] - n[j]:ends[j]]]) for j in js])
             mark[mine] = False
-    yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+            for j in _joined(comp, i, js[100 * shared >= PERCENT * (n[js] + n[i] - shared)]):
+                a.append(ids[i]), b.append(ids[j])
+    yield _edges(a, b)
 
 
 def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -238,15 +256,38 @@ def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
                    .mapInArrow(shingle_sets, "class_id binary, shingles array<bigint>"), "minhash-sets")
 
 
+def compare_with_lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lead, shard, role, class_id, shingles) sorted by the first three: a lead's own set (role
+    0), then those that it is compared with -> a, b, common, linked. One set is held."""
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("common", pa.int64()), ("linked", pa.bool_())])
+    held = np.zeros(0, U)
+    for batch in in_slices(batches, 256):
+        rows = []
+        for lead, _, role, other, shingles in zip(*map(_values, batch.columns), strict=True):
+            own = shingles.view(U)
+            if role == 0:
+                held = own
+                continue
+            at = np.minimum(np.searchsorted(held, own), len(held) - 1)
+            common = int((held[at] == own).sum())
+            rows.append((min(lead, other), max(lead, other), common,
+                         100 * common >= PERCENT * (len(held) + len(own) - common)))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+
 def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """a, b, common (shingles that both full sets hold), linked."""
-    sets = sets_of(pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")), classes, docs)
-    both = (pairs.join(sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("y")), "b")
-            .select("a", "b", F.size("x").alias("na"), F.size("y").alias("nb"),
-                    F.size(F.array_intersect("x", "y")).alias("common")))
-    return written(both.select("a", "b", "common", (100 * F.col("common") >= PERCENT * (
-        F.col("na") + F.col("nb") - F.col("common"))).alias("linked")).distinct(), "minhash-compared")
+    """a, b, common (shingles that both full sets hold), linked, of the pairs (lead, other).
+
+    A lead may have any number of partners: they are dealt out over ``SHARDS`` groups, each with
+    one copy of the lead's set, which is not copied to the pairs' rows."""
+    dealt = pairs.withColumn("shard", F.pmod(F.xxhash64("other"), F.lit(SHARDS)).cast("int"))
+    sets = sets_of(pairs.select(F.col("lead").alias("class_id")).union(pairs.select("other")), classes, docs)
+    rows = lambda df, key, role: (df.join(sets, df[key] == sets["class_id"])
+                                  .select("lead", "shard", F.lit(role).alias("role"), "class_id", "shingles"))
+    return written(rows(dealt, "other", 1).union(rows(dealt.select("lead", "shard").distinct(), "lead", 0))
+                   .repartition("lead", "shard").sortWithinPartitions("lead", "shard", "role")
+                   .mapInArrow(compare_with_lead, "a binary, b binary, common long, linked boolean")
+                   .distinct(), "minhash-compared")  # a document may be there twice
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -289,33 +330,50 @@ def all_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         .mapInArrow(hubs_and_nearest, "bucket long, a binary, b binary, weight double"), "minhash-hubs")
     hubs = (found.filter("b IS NULL").groupBy("bucket")
             .agg(F.max(F.struct("weight", F.col("a").alias("hub"))).getField("hub").alias("hub")))
-    stars = members.join(hubs, "bucket").select(
-        "bucket", "class_id", "blocks", "own", F.least("class_id", "hub").alias("a"), F.greatest("class_id", "hub").alias("b"))
+    stars = members.join(hubs, "bucket").select("bucket", "class_id", "hub", "blocks", "own")
     stars = written(stars, "minhash-stars")
-    pairs = stars.select("a", "b").filter("a != b").union(
-        found.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    # each member is compared with its bucket's hub and with its nearest; the hub, or the nearest, leads
+    pairs = stars.filter("class_id != hub").select(F.col("hub").alias("lead"), F.col("class_id").alias("other"))
+    pairs = pairs.union(found.filter("b IS NOT NULL").select(F.col("b").alias("lead"), F.col("a").alias("other")))
+    pairs = written(pairs.groupBy(F.least("lead", "other").alias("a"), F.greatest("lead", "other").alias("b"))
+                    .agg(F.min(F.struct("lead", "other")).alias("pair")).select("pair.*"), "minhash-pairs")
     first = compared(pairs, classes, docs)
     links = first.filter("linked").select("a", "b")
 
     comps = components(links)
     labelled = written(stars.join(comps, stars["class_id"] == comps["node"], "left").select(
-        "bucket", "class_id", "blocks", "own", "a", "b", F.coalesce("comp", "class_id").alias("comp")), "minhash-labelled")
+        "bucket", "class_id", "hub", "blocks", "own", F.coalesce("comp", "class_id").alias("comp")), "minhash-labelled")
     unsettled = (labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                  .filter("lo != hi").select("bucket"))
-    # a large bucket is dealt out by pairs of its blocks
+    # what the signatures leave plausible joins classes to families; a large bucket is dealt out by pairs
+    # of its blocks, and no shingle set is moved
     dealt = (labelled.join(unsettled, "bucket", "left_semi")
+             .withColumn("a", F.least("class_id", "hub")).withColumn("b", F.greatest("class_id", "hub"))
              .join(first.select("a", "b", "common"), ["a", "b"], "left")
              .join(sketched, "class_id")
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    rest = written(
+    edges = written(
         dealt.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("grp"),
                      "class_id", "n_shingles", "sig", (F.col("own") > F.col("other")).alias("side"), "comp",
                      F.coalesce(F.col("common"), F.col("n_shingles")).cast("long").alias("common"))
-        .repartition("grp").sortWithinPartitions("grp").mapInArrow(plausible_members, CROSS), "minhash-rest")
-    if rest.isEmpty():
+        .repartition("grp").sortWithinPartitions("grp").mapInArrow(plausible_edges, "a binary, b binary"), "minhash-plausible")
+    if edges.isEmpty():
         return links
-    sets = sets_of(rest.select("class_id"), classes, docs)
-    more = written(rest.join(sets, "class_id").select(*rest.columns, "shingles")
+    # the members of a family are compared on full sets, each pair once whatever buckets it shares; a
+    # large family is dealt out by pairs of blocks of bounded bytes
+    family = components(edges).select(F.col("node").alias("class_id"), F.col("comp").alias("family"))
+    family = written(family.join(sketched, "class_id").join(
+        comps, F.col("class_id") == comps["node"], "left").select(
+        "family", "class_id", "n_shingles", "sig", F.coalesce("comp", "class_id").alias("comp")), "minhash-families")
+    blocks = family.groupBy("family").agg(F.ceil(F.sum("n_shingles") * 8 / SET_BYTES).cast("int").alias("blocks"))
+    meet = (family.join(blocks, "family")
+            .withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other")).alias("grp"), "class_id",
+                    "n_shingles", "sig", (F.col("own") > F.col("other")).alias("side"), "comp",
+                    F.col("n_shingles").alias("common")))
+    sets = sets_of(family.select("class_id"), classes, docs)
+    more = written(meet.join(sets, "class_id").select(*meet.columns, "shingles")
                    .repartition("grp").sortWithinPartitions("grp").mapInArrow(cross_links, "a binary, b binary"),
                    "minhash-more")
     return links.union(more)
