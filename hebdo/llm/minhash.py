@@ -210,15 +210,18 @@ MEMBERS = "grp long, class_id binary, n_shingles long, sig binary, side boolean,
 
 
 def plausible_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of MEMBERS sorted by group -> a, b: plausible pairs across components, as many as
-    join what plausible pairs join (a forest, not every pair)."""
+    """Rows of MEMBERS sorted by group -> a, b: what plausible pairs across components join, as stars
+    around the smallest id (not every pair), so that the same edges come from many groups."""
     a, b = [], []
     for _, columns in _groups(batches):
         ids, n, sig, side, comp, common = _columns(columns)
         tree = np.arange(len(n))
         for i, js in _cross(n, sig, side, comp, common):
-            for j in _joined(tree, i, js):
-                a.append(ids[i]), b.append(ids[j])
+            _joined(tree, i, js)
+        smallest: dict[int, bytes] = {}
+        for k in sorted(range(len(ids)), key=ids.__getitem__):
+            if smallest.setdefault(int(tree[k]), ids[k]) != ids[k]:
+                a.append(smallest[int(tree[k])]), b.append(ids[k])
         if len(a) > 10_000:
             yield _edges(a, b)
             a, b = [], []
@@ -356,7 +359,8 @@ def all_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         dealt.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("grp"),
                      "class_id", "n_shingles", "sig", (F.col("own") > F.col("other")).alias("side"), "comp",
                      F.coalesce(F.col("common"), F.col("n_shingles")).cast("long").alias("common"))
-        .repartition("grp").sortWithinPartitions("grp").mapInArrow(plausible_edges, "a binary, b binary"), "minhash-plausible")
+        .repartition("grp").sortWithinPartitions("grp").mapInArrow(plausible_edges, "a binary, b binary").distinct(),
+        "minhash-plausible")
     if edges.isEmpty():
         return links
     # the members of a family are compared on full sets, each pair once whatever buckets it shares; a
