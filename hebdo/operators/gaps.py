@@ -34,6 +34,26 @@ def existing_keys_sql_range(spark: SparkSession, table: str, entity_cols: list[s
                      args={"start": start, "end": end})
 
 
+#: Entity sets up to this size become an IN list of the scan.
+MAX_ENTITIES = 1024
+
+
+def existing_keys_of(df: DataFrame, key: str, start, end, entity_col: str, entities: DataFrame) -> DataFrame:
+    """Loaded (entity, key) within [start, end] of the entities asked for (a column ``entity_col``), distinct.
+
+    A set of at most ``MAX_ENTITIES`` entities is put into the scan's filter, so files and row groups that
+    hold none of them are skipped; of a larger one the smallest and largest are, and a semi join
+    does the rest. Nothing more than that many values reaches the driver."""
+    asked = entities.select(entity_col).filter(F.col(entity_col).isNotNull()).distinct()
+    some = [r[0] for r in asked.limit(MAX_ENTITIES + 1).collect()]
+    loaded = df.filter(F.col(key).between(cal.as_col(start), cal.as_col(end)))
+    if len(some) <= MAX_ENTITIES:
+        return loaded.filter(F.col(entity_col).isin(some)).select(entity_col, key).distinct()
+    ends = asked.agg(F.min(entity_col).alias("low"), F.max(entity_col).alias("high")).first()
+    within = loaded.filter(F.col(entity_col).between(F.lit(ends["low"]), F.lit(ends["high"])))
+    return within.select(entity_col, key).join(asked, entity_col, "left_semi").distinct()
+
+
 def spread_entities(ranges: DataFrame, entity_cols: list[str]) -> DataFrame:
     """Hash-partition a (small) entity table over the cluster's cores before a generator.
 
@@ -157,3 +177,21 @@ def chunk_membership(rows: DataFrame, chunks: DataFrame, entity: str, key: str,
                                                F.expr("INTERVAL 7 DAYS"))).alias("_wk"))
     cond = (F.col(entity) == F.col("_ce")) & (cal.monday(F.col(key)) == F.col("_wk"))
     return rows.join(weeks, cond, "inner").drop("_ce", "_wk")
+
+
+def interval_join(rows: DataFrame, ranges: DataFrame, entity: str, key: str, start: str, end: str,
+                  bin_days: int = 32) -> DataFrame:
+    """Range join for ranges of any length: each row (entity, date ``key``) with every range of its entity whose
+    days [start, end] hold it; a row without a range is left out.
+
+    Ranges are cut at the edges of fixed bins of days, so a range has a row per bin that it touches, not
+    per day; rows meet ranges in an equi-join on (entity, bin), and the exact test follows. A row lies
+    in one bin, so it meets a range once. No task pairs all rows of a hot entity with all its ranges."""
+    bin_of = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / bin_days)
+    cut = ranges.filter(F.col(start) <= F.col(end)).select(
+        F.struct("*").alias("_range"), F.col(entity).alias("_entity"),
+        F.explode(F.sequence(bin_of(F.col(start)), bin_of(F.col(end)))).alias("_bin"))
+    names = [c for c in ranges.columns if c != entity]
+    joined = rows.join(cut, (F.col(entity) == F.col("_entity")) & (bin_of(F.col(key)) == F.col("_bin")))
+    return (joined.filter(F.col(key).between(F.col(f"_range.{start}"), F.col(f"_range.{end}")))
+            .select(*rows.columns, *[F.col(f"_range.{c}").alias(c) for c in names]))

@@ -87,18 +87,15 @@ def one_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
                 F.raise_error(F.concat(F.lit("source has several rows for key "), names))).alias("_row")))
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str],
-           update_cols: list[str] | None = None, stamp: dict[str, Column] | None = None) -> DataFrame:
-    """New state of ``target`` after merging ``source`` on ``keys``.
-
-    ``update_cols`` defaults to every non-key column of the target; ``stamp`` sets columns on
-    updated and inserted rows (e.g. ``inserted_at = current_timestamp()``). A stamp column that
-    the target lacks is added, NULL on the rows that the merge leaves alone."""
+def merged_rows(target: DataFrame, source: DataFrame, keys: list[str],
+                update_cols: list[str] | None = None, stamp: dict[str, Column] | None = None) -> DataFrame:
+    """What ``upsert`` returns, and ``_action``: whether the merge 'updated', 'inserted' or 'kept' the row."""
     stamp = stamp or {}
     have = target.columns
     update = set(have if update_cols is None else update_cols) | set(stamp)
     src = source.withColumns(stamp) if stamp else source
-    joined = target.alias("t").join(one_row_per_key(src, keys).alias("s"), keys, "full_outer")
+    joined = (target.withColumn("_old", F.lit(True)).alias("t")
+              .join(one_row_per_key(src, keys).alias("s"), keys, "full_outer"))
     hit = F.coalesce(F.col("s._row._hit"), F.lit(False))
     out = [F.col(k) for k in keys]
     for c in [c for c in (*have, *[n for n in stamp if n not in have]) if c not in keys]:
@@ -107,8 +104,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
         if c in have and c in src.columns:
             new = new.cast(target.schema[c].dataType)
         out.append((F.when(hit, new).otherwise(old) if c in update else old).alias(c))
+    action = F.when(~hit, "kept").when(F.col("t._old"), "updated").otherwise("inserted")
     order = [c for c in (*have, *[n for n in stamp if n not in have])]
-    return joined.select(*out).select(*order)
+    return joined.select(*out, action.alias("_action")).select(*order, "_action")
+
+
+def upsert(target: DataFrame, source: DataFrame, keys: list[str],
+           update_cols: list[str] | None = None, stamp: dict[str, Column] | None = None) -> DataFrame:
+    """New state of ``target`` after merging ``source`` on ``keys``.
+
+    ``update_cols`` defaults to every non-key column of the target; ``stamp`` sets columns on
+    updated and inserted rows (e.g. ``inserted_at = current_timestamp()``). A stamp column that
+    the target lacks is added, NULL on the rows that the merge leaves alone."""
+    return merged_rows(target, source, keys, update_cols, stamp).drop("_action")
 
 
 def merge_counts(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -136,69 +144,25 @@ def stage(df: DataFrame, name: str = "batch") -> DataFrame:
 def write_upsert(spark: SparkSession, target_path: str, source: DataFrame, keys: list[str],
                  partition_col: str, stamp: dict[str, Column] | None = None,
                  cluster_by: list[str] | None = None) -> int:
-    """Merge ``source`` into the Parquet table at ``target_path`` (partitioned by
-    ``partition_col``), rewriting only the partitions the source touches.
-
-    The touched partition values (bounded by the calendar) filter the target's scan, so only
-    their files are read. Their new state is written to ``<target>__pending`` first; once that
-    is whole it replaces the partitions, and then it is removed. A run that finds a whole pending
-    folder finishes the replacement before anything else, so a crash at any point loses nothing.
-    ``cluster_by`` sorts rows within each written file so Parquet row-group statistics prune reads
-    on those columns. Returns the number of rows merged (rows with a NULL key are skipped)."""
-    order = [partition_col, *(cluster_by or [])]
-    finish_pending(spark, target_path, partition_col)
-    staging = scratch_path(spark, "staging", f"merge-source-{unique_suffix()}")
-    with_keys(source, keys).write.parquet(staging)
-    staged = spark.read.schema(source.schema).parquet(staging)
-    try:
-        per_partition = staged.groupBy(partition_col).count().collect()  # one row per calendar month or year
-        merged = sum(r["count"] for r in per_partition)
-        if merged == 0:
-            return 0
-        if _path_exists(spark, target_path):
-            target = spark.read.parquet(target_path).filter(F.col(partition_col).isin([r[0] for r in per_partition]))
-        else:  # first load: the merge into an empty table inserts every source row
-            target = staged.limit(0)
-        check_unique(staged, keys)
-        new_state = upsert(target, staged, keys, stamp=stamp).sortWithinPartitions(*order)
-        # a static write: only that leaves _SUCCESS in the folder
-        (new_state.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(partition_col).parquet(pending_path(target_path)))
-        finish_pending(spark, target_path, partition_col)
-        return merged
-    finally:
-        remove_path(spark, staging)
-
-
-def pending_path(target_path: str) -> str:
-    return target_path.rstrip("/") + "__pending"
-
-
-def finish_pending(spark: SparkSession, target_path: str, partition_col: str) -> None:
-    """Put a whole pending folder in place (again, if a run died while doing so); an unfinished
-    one is only removed. The folder's ``_SUCCESS`` file, which Spark writes last, tells which."""
-    pending = pending_path(target_path)
-    if not _path_exists(spark, pending):
-        return
-    if _path_exists(spark, f"{pending}/_SUCCESS"):
-        (spark.read.parquet(pending).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(target_path))
-    remove_path(spark, pending)
+    """Merge ``source`` into the versioned table at ``target_path`` (``sources.snapshots``), rewriting only the files
+    that hold one of its keys. Returns the number of rows merged (rows with a NULL key are skipped)."""
+    from hebdo.sources.snapshots import merge_into
+    return merge_into(spark, target_path, source, keys, partition_col, cluster_by, stamp).affected
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _file_system(spark, path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
 def remove_path(spark: SparkSession, path: str | None) -> None:
     if path:
-        fs, p = _file_system(spark, path)
+        fs, p = file_system(spark, path)
         fs.delete(p, True)
 
 
@@ -210,11 +174,11 @@ COMPACT_AFTER = 32  # batch folders before they are folded into a new base
 
 def batch_folders(spark: SparkSession, state_path: str) -> tuple[int, list[int]]:
     """(last batch of the newest whole base, or -1; whole batch folders after it)."""
-    fs, p = _file_system(spark, state_path)
+    fs, p = file_system(spark, state_path)
     if not fs.exists(p):
         return -1, []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
-    whole = [n for n in names if _path_exists(spark, f"{state_path}/{n}/_SUCCESS")]
+    whole = [n for n in names if path_exists(spark, f"{state_path}/{n}/_SUCCESS")]
     base = max([int(n[5:]) for n in whole if n.startswith("base=")], default=-1)
     return base, sorted(int(n[6:]) for n in whole if n.startswith("batch=") and int(n[6:]) > base)
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hebdo.operators import analytics, gold, silver
-from hebdo.operators.jobs import run_steps
+from hebdo.operators.jobs import JobFailed, run_job
 from hebdo.plans.parity import on_grid
 from hebdo.plans.q_layers import GOLD_CTES, GOLD_SUMS, _oracle, raw_tables
 from hebdo.plans.registry import query
@@ -49,7 +50,7 @@ def q_ensure_table_evolution(spark, sf_dir):
 
 @query("ctas_rebuild", _oracle(GOLD_CTES, "SELECT * FROM features", GOLD_SUMS))
 def q_ctas_rebuild(spark, sf_dir):
-    """Silver and gold written as tables, then gold rebuilt from itself (staged swap)."""
+    """Silver and gold written as tables, then gold rebuilt from itself (a new version behind the same name)."""
     pm, we, fl = raw_tables(spark, sf_dir)
     sdb, gdb = _layer(spark, "silver"), _layer(spark, "gold")
     T.create_or_replace_table(silver.silver_pm25(pm), f"{sdb}.pm25")
@@ -63,18 +64,41 @@ def q_ctas_rebuild(spark, sf_dir):
     return on_grid(spark.table(f"{gdb}.features").drop("processed_at"), GOLD_SUMS)
 
 
+@query("clustered_table", with_fixtures("""
+SELECT sensor_id, date_utc, location_id, count(*) AS n, min(value) AS low, max(value) AS high, true AS in_order
+FROM fx_raw_pm25 GROUP BY sensor_id, date_utc, location_id""", "fx_raw_pm25"))
+def q_clustered_table(spark, sf_dir):
+    """Raw PM2.5 appended to a table that is clustered by sensor and location, in two loads; every file
+    holds its rows in that order."""
+    pm, _, _ = raw_tables(spark, sf_dir)
+    name = f"{_layer(spark, 'raw')}.pm25"
+    fields = [("sensor_id", "INT64", True), ("date_utc", "TIMESTAMP", True), ("value", "FLOAT64", False), ("location_id", "INT64", False)]
+    layout = {"cluster_cols": ["sensor_id", "location_id"]}
+    T.ensure_table(spark, name, T.schema_from_fields(fields), **layout)
+    for load in (F.dayofmonth("date_utc") <= 20, F.dayofmonth("date_utc") > 20):
+        T.append(pm.filter(load).select(*[f[0] for f in fields]), name)
+    assert T.ensure_table(spark, name, T.schema_from_fields(fields), **layout) == []
+    rows = spark.table(name).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    key = F.struct("sensor_id", F.col("location_id").isNotNull(), "location_id")
+    # a row that is smaller than one before it in its file would be out of order; per file, so no window over the table
+    per_file = Window.partitionBy("file", F.floor(F.col("at") / 65536)).orderBy("at")
+    checked = rows.withColumn("in_order", F.coalesce(F.lag(key).over(per_file) <= key, F.lit(True)))
+    return (checked.groupBy("sensor_id", F.col("date_utc").cast("timestamp_ntz").alias("date_utc"), "location_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.min("in_order").alias("in_order")))
+
+
 @query("job_status", _oracle(GOLD_CTES, """
-SELECT 'silver_pm25' AS step, true AS ok, (SELECT count(*) FROM pm25_good) AS rows
-UNION ALL SELECT 'silver_weather', true, (SELECT count(*) FROM weather_good)
-UNION ALL SELECT 'silver_flu', true, (SELECT count(*) FROM flu_good)
-UNION ALL SELECT 'gold', true, (SELECT count(*) FROM features)
-UNION ALL SELECT 'verify', true, 1
-UNION ALL SELECT 'fails', false, NULL
-UNION ALL SELECT 'after_failure', true, (SELECT count(*) FROM pm25_good)
-UNION ALL SELECT 'verify_after_failure', false, NULL"""))
+SELECT 'build' AS run, 'silver_pm25' AS step, true AS ok, (SELECT count(*) FROM pm25_good) AS rows, true AS run_ok
+UNION ALL SELECT 'build', 'silver_weather', true, (SELECT count(*) FROM weather_good), true
+UNION ALL SELECT 'build', 'silver_flu', true, (SELECT count(*) FROM flu_good), true
+UNION ALL SELECT 'build', 'gold', true, (SELECT count(*) FROM features), true
+UNION ALL SELECT 'build', 'verify', true, 1, true
+UNION ALL SELECT 'copy', 'fails', false, NULL, false
+UNION ALL SELECT 'copy', 'after_failure', true, (SELECT count(*) FROM pm25_good), false
+UNION ALL SELECT 'copy', 'verify_after_failure', false, NULL, false"""))
 def q_job_status(spark, sf_dir):
-    """Silver x3 -> gold -> verification as steps, then a step that fails, one that still runs and
-    a verification that is skipped; returns (step, ok, rows)."""
+    """Silver x3 -> gold -> verification as one job, then a job with a step that fails, one that still
+    runs and a verification that is skipped; returns (run, step, ok, rows, run_ok)."""
     pm, we, fl = raw_tables(spark, sf_dir)
     sdb, gdb = _layer(spark, "silver"), _layer(spark, "gold")
 
@@ -84,18 +108,26 @@ def q_job_status(spark, sf_dir):
             return name
         return run
 
-    steps = [
+    verify = write(lambda: analytics.verify_output(spark.table(f"{gdb}.features")), f"{gdb}.verification")
+    build = [
         ("silver_pm25", write(lambda: silver.silver_pm25(pm), f"{sdb}.pm25")),
         ("silver_weather", write(lambda: silver.silver_weather(we), f"{sdb}.weather")),
         ("silver_flu", write(lambda: silver.silver_flu(fl), f"{sdb}.flu")),
         ("gold", write(lambda: gold.build_gold(spark.table(f"{sdb}.flu"), spark.table(f"{sdb}.pm25"),
                                                spark.table(f"{sdb}.weather"), cutoff=GOLD_CUTOFF),
                        f"{gdb}.features")),
-        ("verify", write(lambda: analytics.verify_output(spark.table(f"{gdb}.features")),
-                         f"{gdb}.verification"), True),
+        ("verify", verify, True),
+    ]
+    copy = [
         ("fails", write(lambda: spark.table(f"{gdb}.no_such_table"), f"{gdb}.nothing")),
         ("after_failure", write(lambda: spark.table(f"{sdb}.pm25"), f"{gdb}.pm25_copy")),
-        ("verify_after_failure", write(lambda: analytics.verify_output(spark.table(f"{gdb}.features")),
-                                       f"{gdb}.verification"), True),
+        ("verify_after_failure", verify, True),
     ]
-    return run_steps(spark, steps).select("step", "ok", "rows")
+
+    def status(name, steps):
+        try:
+            return run_job(spark, steps).select(F.lit(name).alias("run"), "step", "ok", "rows", F.lit(True).alias("run_ok"))
+        except JobFailed as failed:
+            return failed.status.select(F.lit(name).alias("run"), "step", "ok", "rows", F.lit(False).alias("run_ok"))
+
+    return status("build", build).unionByName(status("copy", copy))

@@ -196,3 +196,54 @@ def q_chunk_range_join(spark, sf_dir):
     flu = fixture(spark, sf_dir, "fx_raw_flu").select("region", "epiweek", "week_start")
     return gaps.chunk_membership(flu, chunks.select("region", "chunk_start", "chunk_end"),
                                  "region", "week_start")
+
+
+# Ranges of unlike lengths: every run of loaded days of a point, each point's calendar months, and the
+# time between a point's first and last order of each priority.
+_RANGES = """ranges AS (
+    SELECT 'island' AS kind, point_id, range_start, range_end FROM isl
+    UNION ALL SELECT 'priority', 'p' || CAST(o_custkey % 6 AS VARCHAR), CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE)
+      FROM orders GROUP BY 2, o_orderpriority
+    UNION ALL SELECT 'month', point_id, date_trunc('month', date)::DATE, last_day(date)::DATE FROM fx_existing_days GROUP BY ALL)"""
+
+
+@query("interval_join", with_fixtures(
+    "WITH " + _islands_sql("fx_existing_days", ["point_id"], "date", 1, "isl") + ", " + _RANGES + """
+SELECT kind, r.point_id, range_start, range_end, count(*) AS n_days, min(w.date) AS first_day, max(w.date) AS last_day,
+  count(w.temp_mean) AS n_means
+FROM fx_raw_weather w JOIN ranges r ON w.point_id = r.point_id AND w.date BETWEEN r.range_start AND r.range_end GROUP BY ALL""",
+    "fx_existing_days", "fx_raw_weather"))
+def q_interval_join(spark, sf_dir):
+    """Daily weather rows with all ranges of their point that hold them, from one day to seven years long."""
+    apply_engine_conf(spark)
+    loaded = fixture(spark, sf_dir, "fx_existing_days")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    kind = lambda df, name: df.select(F.lit(name).alias("kind"), "point_id", "range_start", "range_end")
+    ranges = kind(gaps.islands(loaded, ["point_id"], "date", 1), "island").unionByName(kind(
+        orders.groupBy(F.concat(F.lit("p"), (F.col("o_custkey") % 6).cast("string")).alias("point_id"), "o_orderpriority")
+        .agg(F.min("o_orderdate").cast("date").alias("range_start"), F.max("o_orderdate").cast("date").alias("range_end")), "priority"))
+    ranges = ranges.unionByName(kind(loaded.select("point_id", F.trunc("date", "month").alias("range_start"),
+                                                   F.last_day("date").alias("range_end")).distinct(), "month"))
+    days = fixture(spark, sf_dir, "fx_raw_weather").select("point_id", "date", "temp_mean")
+    joined = gaps.interval_join(days, ranges, "point_id", "date", "range_start", "range_end")
+    return joined.groupBy("kind", "point_id", "range_start", "range_end").agg(
+        F.count(F.lit(1)).alias("n_days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
+        F.count("temp_mean").alias("n_means"))
+
+
+@query("missing_sensor_weeks", with_fixtures(f"""WITH run AS (SELECT s_suppkey AS sensor_id,
+    unnest(generate_series(DATE '1995-01-02', DATE '{RUN_END}', INTERVAL 7 DAY))::DATE AS week_start FROM supplier),
+  loaded AS (SELECT DISTINCT sensor_id, date_trunc('week', date_utc)::DATE AS week_start FROM fx_raw_pm25)
+SELECT run.sensor_id::BIGINT AS sensor_id, count(*) AS n_missing, min(run.week_start) AS first_missing, max(run.week_start) AS last_missing
+FROM run ANTI JOIN loaded ON run.sensor_id = loaded.sensor_id AND run.week_start = loaded.week_start GROUP BY 1""", "fx_raw_pm25"))
+def q_missing_sensor_weeks(spark, sf_dir):
+    """Weeks without a reading of the sensors asked for: the control table's, every supplier. The loaded
+    keys are looked up for this set of entities only."""
+    apply_engine_conf(spark)
+    asked = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").cast("bigint").alias("sensor_id"))
+    days = gaps.existing_keys_of(fixture(spark, sf_dir, "fx_raw_pm25"), "date_utc", "1995-01-02", "2002-01-06", "sensor_id", asked)
+    loaded = days.select("sensor_id", cal.monday(F.to_date("date_utc")).alias("week_start")).distinct()
+    spine = gaps.week_spine(asked.select("sensor_id", F.lit("1995-01-02").cast("date").alias("start"),
+                                         F.lit(RUN_END).cast("date").alias("end")), ["sensor_id"])
+    return gaps.missing_keys(spine, loaded, ["sensor_id", "week_start"]).groupBy("sensor_id").agg(
+        F.count(F.lit(1)).alias("n_missing"), F.min("week_start").alias("first_missing"), F.max("week_start").alias("last_missing"))

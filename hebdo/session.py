@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import SparkSession
 
@@ -54,8 +55,8 @@ def apply_engine_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is unset, as in
-    tests, fall back to a folder under the warehouse directory, and register it.
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Only in local mode, as in tests, an
+    unset one falls back to a folder under the warehouse directory, which is registered; on a cluster it fails.
     """
     try:
         sc = spark.sparkContext
@@ -67,6 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - unset runtime key
         pass
     if not configured:
+        # one machine (tests): a folder beside the warehouse is shared by all there is
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         configured = warehouse.rstrip("/") + "/_hebdo_checkpoints"
     if sc is not None and sc.getCheckpointDir() is None:

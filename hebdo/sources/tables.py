@@ -3,9 +3,8 @@ evolution, full rebuilds (CTAS) and table descriptions."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from hebdo.session import unique_suffix
@@ -56,27 +55,46 @@ def schema_diff(existing: StructType, wanted: StructType) -> tuple[list[StructFi
     return add, conflicts
 
 
-# Parquet reads every column back as nullable, so the catalog keeps which ones are required.
-REQUIRED = "hebdo.required_columns"
+# Parquet reads every column back as nullable, so the catalog keeps which ones are required; it also
+# keeps the clustering.
+REQUIRED, CLUSTERED = "hebdo.required_columns", "hebdo.cluster_columns"
 
 
-def required_columns(spark: SparkSession, name: str) -> list[str]:
+def _property(spark: SparkSession, name: str, key: str) -> list[str]:
     rows = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    return [c for c in rows.get(REQUIRED, "").split(",") if c]
+    return [c for c in rows.get(key, "").split(",") if c]
+
+
+def required_columns(spark: SparkSession, name: str) -> list[str]:
+    return _property(spark, name, REQUIRED)
+
+
+def cluster_columns(spark: SparkSession, name: str) -> list[str]:
+    return _property(spark, name, CLUSTERED)
+
 
+def clustered(df: DataFrame, partition_cols: list[str], cluster_cols: list[str]) -> DataFrame:
+    """Rows dealt out by range of the partition and cluster columns and sorted by them, so each written file
+    holds one stretch and the statistics of files and row groups prune on these columns."""
+    order = list(dict.fromkeys([*partition_cols, *cluster_cols]))
+    return df.repartitionByRange(*order).sortWithinPartitions(*order) if cluster_cols else df
 
-def ensure_table(spark: SparkSession, name: str, schema: StructType,
-                 partition_cols: list[str] | None = None, comment: str = "") -> list[str]:
+
+def ensure_table(spark: SparkSession, name: str, schema: StructType, partition_cols: list[str] | None = None,
+                 comment: str = "", cluster_cols: list[str] | None = None) -> list[str]:
     """Create the table if absent; else add missing columns. A changed type or mode (required or
-    not), other partition columns, or a new required column fail. Returns the names of added
-    columns."""
+    not), other partition or cluster columns, or a new required column fail. Returns the names of
+    added columns. ``append`` writes in the order of the cluster columns."""
     required = [f.name for f in schema.fields if not f.nullable]
+    if unknown := set(cluster_cols or []) - set(schema.names):
+        raise SchemaConflict(f"{name}: no columns {sorted(unknown)} to cluster by")
     if not spark.catalog.tableExists(name):
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         part = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
         cmt = f" COMMENT {quoted(comment)}" if comment else ""
         spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part}{cmt} "
-                  f"TBLPROPERTIES ({quoted(REQUIRED)} = {quoted(','.join(required))})")
+                  f"TBLPROPERTIES ({quoted(REQUIRED)} = {quoted(','.join(required))}, "
+                  f"{quoted(CLUSTERED)} = {quoted(','.join(cluster_cols or []))})")
         return [f.name for f in schema.fields]
     add, conflicts = schema_diff(spark.table(name).schema, schema)
     new = {f.name.lower() for f in add}
@@ -89,6 +107,8 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType,
     parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     if partition_cols is not None and parts != list(partition_cols):
         conflicts.append(f"partitioned by {parts}, not {list(partition_cols)}")
+    if cluster_cols is not None and cluster_columns(spark, name) != list(cluster_cols):
+        conflicts.append(f"clustered by {cluster_columns(spark, name)}, not {list(cluster_cols)}")
     if conflicts:
         raise SchemaConflict(f"{name}: " + "; ".join(conflicts))
     if add:
@@ -99,7 +119,6 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType,
 
 def check_required(df: DataFrame, required: list[str]) -> None:
     """Fail when a required column holds a NULL (Parquet reads every column back nullable)."""
-    from pyspark.sql import functions as F
     cond = None
     for c in required:
         cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
@@ -108,55 +127,76 @@ def check_required(df: DataFrame, required: list[str]) -> None:
 
 
 def append(df: DataFrame, name: str) -> None:
-    """Append rows by column name (missing columns written as NULL); a NULL in a required column
-    of the table fails before anything is written."""
+    """Append rows by column name (missing columns written as NULL), clustered as the table is. A column
+    that the table lacks (``ensure_table`` adds columns), or a NULL in a required one, fails before
+    anything is written."""
     spark = df.sparkSession
     target = spark.table(name).schema
+    have = {f.name.lower() for f in target.fields}
+    if extra := [c for c in df.columns if c.lower() not in have]:
+        raise SchemaConflict(f"{name}: the table has no columns {extra}")
     required = required_columns(spark, name)
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"required columns {missing} are missing")
     check_required(df, required)
-    from pyspark.sql import functions as F
     cols = [F.col(f.name).cast(f.dataType) if f.name in df.columns
             else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]
-    df.select(*cols).write.insertInto(name)
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    clustered(df.select(*cols), parts, cluster_columns(spark, name)).write.insertInto(name)
 
 
-def _reads_table(df: DataFrame, name: str) -> bool:
-    """Does the plan read any file below the table's folder? (by name or by path)"""
-    spark = df.sparkSession
+# ---------------------------------------------------------------------------------------
+# Full rebuilds. The rows of a rebuild go to a table of their own, ``<name>__v_<suffix>``, and ``<name>`` is a
+# view of it. Replacing the view is one change of the catalog, so readers see the old rows or the new
+# ones; a run that dies before leaves the old ones. The version before the newest stays for readers
+# that began earlier.
+
+def _version_tables(spark: SparkSession, name: str) -> list[str]:
+    db, _, table = name.rpartition(".")
+    rows = spark.sql(f"SHOW TABLES{f' IN {db}' if db else ''} LIKE '{table}__v_*'").collect()
+    return [f"{db}.{r['tableName']}" if db else r["tableName"] for r in rows if not r["isTemporary"]]
+
+
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The table behind ``name``; None if there is none yet."""
     if not spark.catalog.tableExists(name):
-        return False
-    where = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()
-    folder = re.sub("^file:/+", "/", where["data_type"]).rstrip("/") + "/"
-    return any(re.sub("^file:/+", "/", f).startswith(folder) for f in df.inputFiles())
+        return None
+    if spark.catalog.getTable(name).tableType != "VIEW":
+        return name
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return next((r["value"] for r in rows if r["key"] == VERSION), None)
+
+
+VERSION = "hebdo.version"
 
 
 def create_or_replace_table(df: DataFrame, name: str, partition_cols: list[str] | None = None,
-                            comment: str | None = None) -> None:
-    """Full rebuild of ``name`` from ``df``. A table cannot be overwritten while the plan
-    reads it, so such a rebuild is first written to a staging table in the shared folder."""
+                            comment: str | None = None, cluster_cols: list[str] | None = None) -> None:
+    """Full rebuild of ``name`` from ``df``, whose plan may read it. Readers see the rows of before until
+    all new ones are written."""
     spark = df.sparkSession
-    src = df
-    staging = None
-    if _reads_table(df, name):
-        staging = f"{name}__staging_{unique_suffix().replace('-', '_')}"
-        df.write.mode("overwrite").saveAsTable(staging)
-        src = spark.table(staging)
-    w = src.write.mode("overwrite").format("parquet")
+    old = current_version(spark, name)
+    kept = description(spark, name) if comment is None and old else comment
+    version = f"{name}__v_{unique_suffix().replace('-', '_')}"
+    w = clustered(df, list(partition_cols or []), list(cluster_cols or [])).write.format("parquet")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    w.saveAsTable(name)
-    if staging:
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    if comment is not None:
-        set_description(spark, name, comment)
+    w.saveAsTable(version)
+    if old == name:  # a table from elsewhere makes room for the view; its rows stay as a version
+        old = f"{name}__v_before_{unique_suffix().replace('-', '_')}"
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    cmt = f" COMMENT {quoted(kept)}" if kept else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name}{cmt} TBLPROPERTIES ({quoted(VERSION)} = {quoted(version)}) AS SELECT * FROM {version}")
+    for table in _version_tables(spark, name):
+        if table.split(".")[-1] not in {t.split(".")[-1] for t in (version, old) if t}:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def set_description(spark: SparkSession, name: str, text: str) -> None:
     """Table description; a later call replaces the earlier one."""
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = {quoted(text)})")
+    kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+    spark.sql(f"ALTER {kind} {name} SET TBLPROPERTIES ('comment' = {quoted(text)})")
 
 
 def description(spark: SparkSession, name: str) -> str | None:

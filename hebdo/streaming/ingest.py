@@ -23,6 +23,7 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
 
 from hebdo.operators.upsert import add_batch, latest_by
 from hebdo.session import forget_on_exit, scratch_path, unique_suffix
+from hebdo.sources.payloads import with_source
 
 EVENT_SCHEMA = StructType([
     StructField("event_id", LongType()), StructField("ts", TimestampType()),
@@ -104,17 +105,18 @@ def stream_dedup(spark: SparkSession, landing: str, state: str, checkpoint: str,
 def stream_ingest(spark: SparkSession, landing: str, target_path: str, checkpoint: str,
                   kind: str, quarantine_path: str | None = None, files_per_batch: int = 8) -> str:
     """Incremental ingest of landing payload files (STR1 + STR2): every micro-batch of new
-    files runs the batch ingest job (normalise, quarantine, dedup, staged upsert of the
-    touched partitions). The upsert is keyed and the quarantine is per batch id, so a replayed
-    batch leaves the same tables; a batch whose rows are all refused merges nothing. PM2.5
-    pages lie in ``sensor_id=<id>`` folders, which name the sensor."""
+    files runs the batch ingest job (parse, quarantine, latest record per key, merge by file into
+    the versioned table at ``target_path``; read it with ``sources.snapshots.read``). The merge is
+    keyed and the quarantine is per batch id, so a replayed batch leaves the same rows; a page that
+    comes twice merges once; a batch whose rows are all refused merges nothing. PM2.5 pages lie
+    in ``sensor_id=<id>`` folders, which name the sensor."""
     from hebdo.operators import jobs
 
     run = {"weather": jobs.ingest_weather_docs, "flu": jobs.ingest_flu_docs, "pm25": jobs.ingest_pm25_docs}[kind]
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
     if kind == "pm25":
         reader = reader.schema("value string, sensor_id bigint")
-    docs = reader.text(landing)
+    docs = with_source(reader.text(landing))  # so that a replay ranks the documents alike
 
     def each(batch: DataFrame, batch_id: int) -> None:
         run(batch.sparkSession, batch, target_path, quarantine_path, batch_id)

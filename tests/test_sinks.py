@@ -1,80 +1,57 @@
 """Sinks: staged file upsert, table evolution and descriptions, stream restarts."""
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from hebdo.operators import upsert as up
 from hebdo.session import scratch_path, unique_suffix
+from hebdo.sources import snapshots
 from hebdo.sources import tables as T
 from hebdo.streaming import ingest as S
 
 
-def test_write_upsert_touches_only_source_partitions(spark):
+SCHEMA = "date date, point_id string, temp double"
+
+
+def _table(spark, rows, schema=SCHEMA):
     path = scratch_path(spark, "test", f"target-{unique_suffix()}")
-    rows = [(dt.date(2024, 1, d), f"p{k}", float(d * 10 + k)) for d in (1, 2, 3) for k in (1, 2)]
-    spark.createDataFrame(rows, "date date, point_id string, temp double") \
-        .write.partitionBy("date").parquet(path)
-    before = {p: os.path.getmtime(os.path.join(path[len("file:"):] if path.startswith("file:") else path, p))
-              for p in ("date=2024-01-01",)}
-    src = spark.createDataFrame([(dt.date(2024, 1, 2), "p1", None), (dt.date(2024, 1, 4), "p9", 1.0)],
-                                "date date, point_id string, temp double")
+    snapshots.create(spark.createDataFrame(rows, schema), path, ["date", "point_id"], "date")
+    return path
+
+
+def test_write_upsert_keeps_what_the_source_does_not_hold(spark):
+    path = _table(spark, [(dt.date(2024, 1, d), f"p{k}", float(d * 10 + k)) for d in (1, 2, 3) for k in (1, 2)])
+    src = spark.createDataFrame([(dt.date(2024, 1, 2), "p1", None), (dt.date(2024, 1, 4), "p9", 1.0)], SCHEMA)
     n = up.write_upsert(spark, path, src, ["date", "point_id"], "date")
     assert n == 2
-    got = {(r.date, r.point_id): r.temp for r in spark.read.parquet(path).collect()}
+    got = {(r.date, r.point_id): r.temp for r in snapshots.read(spark, path).collect()}
     assert got[(dt.date(2024, 1, 2), "p1")] is None            # overwritten with NULL
     assert got[(dt.date(2024, 1, 2), "p2")] == 22.0            # untouched key of a touched partition
     assert got[(dt.date(2024, 1, 4), "p9")] == 1.0             # inserted
     assert len(got) == 7
-    local = path[len("file:"):] if path.startswith("file:") else path
-    assert os.path.getmtime(os.path.join(local, "date=2024-01-01")) == before["date=2024-01-01"]
-
-
-def _table(spark, rows, schema="date date, point_id string, temp double"):
-    path = scratch_path(spark, "test", f"target-{unique_suffix()}")
-    spark.createDataFrame(rows, schema).write.partitionBy("date").parquet(path)
-    return path
 
 
 def test_write_upsert_of_nothing(spark):
     path = _table(spark, [(dt.date(2024, 1, 1), "p", 1.0)])
-    empty = spark.createDataFrame([], "date date, point_id string, temp double")
-    assert up.write_upsert(spark, path, empty, ["date", "point_id"], "date") == 0
-    assert spark.read.parquet(path).count() == 1
+    assert up.write_upsert(spark, path, spark.createDataFrame([], SCHEMA), ["date", "point_id"], "date") == 0
+    assert snapshots.read(spark, path).count() == 1 and snapshots.versions(spark, path) == [0]
 
 
 def test_write_upsert_counts_and_stamps(spark):
     path = scratch_path(spark, "test", f"target-{unique_suffix()}")
-    schema = "date date, point_id string, temp double"
-    first = spark.createDataFrame([(dt.date(2024, 1, 1), "a", 1.0), (dt.date(2024, 1, 1), None, 2.0)], schema)
+    first = spark.createDataFrame([(dt.date(2024, 1, 1), "a", 1.0), (dt.date(2024, 1, 1), None, 2.0)], SCHEMA)
     stamp = {"inserted_at": F.current_timestamp()}
     assert up.write_upsert(spark, path, first, ["date", "point_id"], "date", stamp=stamp) == 1  # a NULL key is skipped
-    again = spark.createDataFrame([(dt.date(2024, 1, 1), "b", 1.0), (dt.date(2024, 1, 2), "a", 1.0)], schema)
+    again = spark.createDataFrame([(dt.date(2024, 1, 1), "b", 1.0), (dt.date(2024, 1, 2), "a", 1.0)], SCHEMA)
     assert up.write_upsert(spark, path, again, ["date", "point_id"], "date", stamp=stamp) == 2
-    rows = spark.read.parquet(path).collect()
+    rows = snapshots.read(spark, path).collect()
     assert len(rows) == 3 and all(r.inserted_at is not None for r in rows)
     twice = again.union(again)
     with pytest.raises(up.DuplicateSourceKeys):
-        up.write_upsert(spark, path, twice, ["date", "point_id"], "date")
-    assert spark.read.parquet(path).count() == 3
-
-
-def test_write_upsert_finishes_an_interrupted_swap(spark):
-    path = _table(spark, [(dt.date(2024, 1, d), "p", float(d)) for d in (1, 2)])
-    # a run died after its new state was whole and before the swap; another one while writing
-    whole = spark.createDataFrame([(dt.date(2024, 1, 2), "p", 20.0), (dt.date(2024, 1, 2), "q", 21.0)],
-                                  "date date, point_id string, temp double")
-    whole.write.option("partitionOverwriteMode", "static").partitionBy("date").parquet(up.pending_path(path))
-    up.finish_pending(spark, path, "date")
-    got = {(r.date.day, r.point_id): r.temp for r in spark.read.parquet(path).collect()}
-    assert got == {(1, "p"): 1.0, (2, "p"): 20.0, (2, "q"): 21.0}
-    whole.write.partitionBy("date").parquet(up.pending_path(path))
-    up.remove_path(spark, up.pending_path(path) + "/_SUCCESS")
-    up.remove_path(spark, f"{path}/date=2024-01-02")
-    up.finish_pending(spark, path, "date")
-    assert spark.read.parquet(path).count() == 1 and not up._path_exists(spark, up.pending_path(path))
+        up.write_upsert(spark, path, twice, ["date", "point_id"], "date", stamp=stamp)
+    assert snapshots.read(spark, path).count() == 3
 
 
 def test_upsert_fails_on_a_second_row_of_a_key(spark):
@@ -182,7 +159,7 @@ def test_a_batch_of_refused_documents_completes_and_restarts(spark):
     args = (f"{root}/landing", f"{root}/weather", f"{root}/ckpt", "weather", f"{root}/quarantine")
     S.stream_ingest(spark, *args)
     S.stream_ingest(spark, *args)
-    assert sorted(r.reason for r in spark.read.parquet(f"{root}/quarantine").collect()) == ["NO_DAILY_DATA", "NO_REQUEST"]
+    assert sorted(r.reason for r in spark.read.parquet(f"{root}/quarantine").collect()) == ["NOT_JSON", "NO_DAILY_DATA"]
 
 
 def test_ingest_jobs_and_stream(spark):
@@ -195,12 +172,12 @@ def test_ingest_jobs_and_stream(spark):
     n = jobs.ingest_weather_docs(spark, docs, f"{root}/weather", f"{root}/quarantine")
     assert n == weather.count()
     cols = ["date", "point_id", "temp_mean"]
-    got = spark.read.parquet(f"{root}/weather").select(*cols)
+    got = snapshots.read(spark, f"{root}/weather").select(*cols)
     assert got.exceptAll(weather.select(*cols)).count() == 0 and got.count() == weather.count()
     # the same payloads as a file stream into a second table: same content
     docs.write.text(f"{root}/landing")
     S.stream_ingest(spark, f"{root}/landing", f"{root}/weather2", f"{root}/ckpt", "weather", files_per_batch=1)
-    again = spark.read.parquet(f"{root}/weather2").select(*cols)
+    again = snapshots.read(spark, f"{root}/weather2").select(*cols)
     assert again.exceptAll(got).count() == 0 and again.count() == got.count()
     flu = fixture(spark, "/root/testdata/sf0.001", "fx_raw_flu")
     nf = jobs.ingest_flu_docs(spark, P.flu_payloads_from_raw(flu), f"{root}/flu")
