@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from hebdo.llm.common import ship_package, written
 from hebdo.llm.textbytes import U, in_slices, mixed, shingle_hashes, word_hashes
@@ -296,25 +297,39 @@ def compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 def components(links: DataFrame) -> DataFrame:
     """node, comp: the smallest node reachable over links (a, b), for nodes that have any.
 
-    Each round takes the smallest label among a node's neighbours and then the label of that
-    label, so the reach doubles; rounds end when nothing changes (their number is logarithmic
-    in the longest chain). Labels are written tables; the driver sees one count a round.
+    Each round lets every node point at its smallest neighbour (or at itself), follows the pointers to their
+    ends, which doubles the reach of a step, and contracts the links to the ends. A round at
+    least halves the nodes that still have links, so links are joined a few times over and rounds are
+    logarithmic in number. What is between is written tables; the driver sees whether any is empty.
     """
-    edges = written(links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-                    .union(links.select("b", "a")), "components-edges")
-    labels = written(edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("comp"))
-                     .withColumnRenamed("u", "node"), "components-labels")
-    while True:
-        near = (edges.join(labels, edges["v"] == labels["node"]).groupBy("u").agg(F.min("comp").alias("near")))
-        lower = (labels.join(near, labels["node"] == near["u"])
-                 .select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("low")))
-        up = labels.select(F.col("node").alias("low"), F.col("comp").alias("up"))
-        step = written(lower.join(up, "low").select("node", F.least("low", "up").alias("comp"),
-                                                    (F.least("low", "up") != F.col("old")).alias("moved")),
-                       "components-labels")
-        labels = step.select("node", "comp")
-        if step.filter("moved").isEmpty():
-            return labels
+    kind = links.schema["a"].dataType
+    edges = written(links.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+                    "components-edges")
+    labels = None
+    while not edges.isEmpty():
+        both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
+        ends = written(both.groupBy("node").agg(F.min("other").alias("other"))
+                       .select("node", F.least("node", "other").alias("comp")), "components-pointers")
+        while True:
+            further = ends.select(F.col("node").alias("comp"), F.col("comp").alias("end"))
+            step = written(ends.join(further, "comp").select("node", F.col("end").alias("comp"), (F.col("end") != F.col("comp")).alias("moved")),
+                           "components-pointers")
+            ends = step.select("node", "comp")
+            if step.filter("moved").isEmpty():
+                break
+        if labels is None:
+            labels = ends
+        else:  # nodes whose end got a smaller one
+            more = ends.select(F.col("node").alias("comp"), F.col("comp").alias("end"))
+            labels = written(labels.join(more, "comp", "left").select("node", F.coalesce("end", "comp").alias("comp")), "components-labels")
+        of = lambda name: ends.select(F.col("node").alias(name), F.col("comp").alias(f"end_{name}"))
+        edges = written(edges.join(of("a"), "a").join(of("b"), "b").filter("end_a != end_b")
+                        .select(F.least("end_a", "end_b").alias("a"), F.greatest("end_a", "end_b").alias("b")).distinct(),
+                        "components-edges")
+    if labels is None:
+        schema = StructType([StructField("node", kind), StructField("comp", kind)])
+        return links.sparkSession.createDataFrame([], schema)
+    return labels
 
 
 def all_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
