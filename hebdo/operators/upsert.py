@@ -167,37 +167,51 @@ def remove_path(spark: SparkSession, path: str | None) -> None:
 
 
 # ---------------------------------------------------------------------------------------
-# State of a stream: what each micro-batch adds, one folder per batch, and a compacted base.
+# State of a stream: runs, folders that hold what a stretch of micro-batches adds, reduced. A batch writes a run
+# of its own; whenever RUNS runs of one level have gathered they are folded into one of the next level. So
+# a row is written once per level, which are logarithmic in the number of batches, whatever the size
+# of the state; and a reader merges fewer than RUNS runs of each level.
 
-COMPACT_AFTER = 32  # batch folders before they are folded into a new base
+RUNS = 8
 
 
-def batch_folders(spark: SparkSession, state_path: str) -> tuple[int, list[int]]:
-    """(last batch of the newest whole base, or -1; whole batch folders after it)."""
+def state_runs(spark: SparkSession, state_path: str) -> list[tuple[int, int, int]]:
+    """(level, first batch, last batch) of the runs that make up the state, by batch: whole ones (Spark writes
+    ``_SUCCESS`` last) that no other covers. A run that died while it folded leaves the runs it read."""
     fs, p = file_system(spark, state_path)
     if not fs.exists(p):
-        return -1, []
+        return []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
-    whole = [n for n in names if path_exists(spark, f"{state_path}/{n}/_SUCCESS")]
-    base = max([int(n[5:]) for n in whole if n.startswith("base=")], default=-1)
-    return base, sorted(int(n[6:]) for n in whole if n.startswith("batch=") and int(n[6:]) > base)
+    found = [tuple(int(x) for x in n.split("-")[1:]) for n in names
+             if n.startswith("run-") and path_exists(spark, f"{state_path}/{n}/_SUCCESS")]
+    out: list[tuple[int, int, int]] = []
+    for level, first, last in sorted(found, key=lambda r: (r[1], -r[2], -r[0])):
+        if not out or last > out[-1][2]:
+            out.append((level, first, last))
+    return out
 
 
-def read_state(spark: SparkSession, state_path: str, reduce_rows) -> DataFrame:
-    """The state: ``reduce_rows`` over the base and the batches after it."""
-    base, batches = batch_folders(spark, state_path)
-    paths = [f"{state_path}/base={base}"] * (base >= 0) + [f"{state_path}/batch={b}" for b in batches]
-    return reduce_rows(reduce(DataFrame.unionByName, [spark.read.parquet(x) for x in paths]))
+def _run_path(state_path: str, run: tuple[int, int, int]) -> str:
+    return f"{state_path}/run-{run[0]}-{run[1]}-{run[2]}"
+
+
+def read_state(spark: SparkSession, state_path: str, reduce_rows, runs: list[tuple[int, int, int]] | None = None) -> DataFrame:
+    """The state: ``reduce_rows`` over its runs (or over some of them)."""
+    runs = state_runs(spark, state_path) if runs is None else runs
+    return reduce_rows(reduce(DataFrame.unionByName, [spark.read.parquet(_run_path(state_path, r)) for r in runs]))
 
 
 def add_batch(spark: SparkSession, state_path: str, batch: DataFrame, batch_id: int, reduce_rows) -> None:
-    """Write what a micro-batch adds, reduced, as its own folder: only the batch's rows are
-    written. A replay overwrites the same folder. After ``COMPACT_AFTER`` folders they are folded
-    into a new base, which counts once it is whole; only then older folders go."""
-    reduce_rows(batch).write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
-    base, batches = batch_folders(spark, state_path)
-    if len(batches) <= COMPACT_AFTER:
-        return
-    read_state(spark, state_path, reduce_rows).write.mode("overwrite").parquet(f"{state_path}/base={batches[-1]}")
-    for name in [f"batch={b}" for b in batches] + [f"base={base}"] * (base >= 0):
-        remove_path(spark, f"{state_path}/{name}")
+    """Write what a micro-batch adds, reduced, as a run of its own, and fold full levels. A replay writes the
+    same run again, or nothing where it is part of a folded one already."""
+    runs = state_runs(spark, state_path)
+    if not any(level > 0 and first <= batch_id <= last for level, first, last in runs):
+        reduce_rows(batch).write.mode("overwrite").parquet(_run_path(state_path, (0, batch_id, batch_id)))
+    level = 0
+    while len(full := [r for r in state_runs(spark, state_path) if r[0] == level]) >= RUNS:
+        folded = full[:RUNS]  # the oldest of a level lie beside each other: later runs are of lower levels
+        to = (level + 1, folded[0][1], folded[-1][2])
+        read_state(spark, state_path, reduce_rows, folded).write.mode("overwrite").parquet(_run_path(state_path, to))
+        for r in folded:
+            remove_path(spark, _run_path(state_path, r))
+        level += 1

@@ -8,10 +8,10 @@ or retried query resumes where it stopped.
 - :func:`stream_dedup`     natural keys, each once
 - :func:`stream_ingest`    landing payload files through the batch ingest jobs
 
-The three event streams keep their state as what each micro-batch adds (reduced by key, one
-folder per batch id, folded into a base now and then; see ``operators.upsert``). So a batch
-writes its own rows only, a replay replaces them, and no row is late: nothing is dropped by a
-watermark, and the state is bounded by the number of keys, not by the number of events.
+The three event streams keep their state as what each micro-batch adds (reduced by key, a run per
+batch, folded level by level; see ``operators.upsert``). So what a batch writes does not grow with
+the state but for the number of levels, a replay replaces it, and no row is late: nothing is dropped by
+a watermark, and the state is bounded by the number of keys, not by the number of events.
 """
 
 from __future__ import annotations

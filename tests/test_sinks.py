@@ -138,7 +138,7 @@ def test_stream_upsert_restart_is_idempotent(spark):
 
 def test_late_weeks_count_and_state_is_compacted(spark, monkeypatch):
     """Files arrive newest first: with a watermark the older ones would be dropped."""
-    monkeypatch.setattr(up, "COMPACT_AFTER", 2)
+    monkeypatch.setattr(up, "RUNS", 2)
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     root = S.run_folder(spark, "test-late")
     days = [r.d for r in events.select(F.to_date("ts").alias("d")).distinct().orderBy(F.desc("d")).collect()]
@@ -149,8 +149,35 @@ def test_late_weeks_count_and_state_is_compacted(spark, monkeypatch):
     got = {(r.week_start, r.event_type): r.n_events for r in up.read_state(spark, f"{root}/state", S.sum_weeks).collect()}
     want = events.groupBy(F.trunc("ts", "week").alias("w"), "event_type").count().collect()
     assert got == {(r.w, r.event_type): r["count"] for r in want}
-    base, batches = up.batch_folders(spark, f"{root}/state")
-    assert base >= 0 and len(batches) <= 2
+    runs = up.state_runs(spark, f"{root}/state")
+    assert max(level for level, _, _ in runs) >= 1 and [r[2] + 1 for r in runs[:-1]] == [r[1] for r in runs[1:]]
+
+
+def test_what_a_batch_writes_does_not_grow_with_the_state(spark, monkeypatch):
+    """16 batches of 50 new keys each: every row is written once per level, and a replay adds nothing."""
+    monkeypatch.setattr(up, "RUNS", 2)
+    path, written = scratch_path(spark, "test", f"runs-{unique_suffix()}"), []
+    latest = S.latest_rows(["key"], ["batch"])
+
+    def counted(rows):
+        out = latest(rows)
+        written.append(out.count())
+        return out
+
+    for b in range(16):
+        batch = spark.range(50 * b, 50 * b + 50).select(F.col("id").alias("key"), F.lit(b).alias("batch"))
+        up.add_batch(spark, path, batch, b, counted)
+        if b in (3, 6):  # the first is part of a folded run by now, the second is not
+            up.add_batch(spark, path, batch, b, latest)
+    assert up.state_runs(spark, path) == [(4, 0, 15)]
+    assert up.read_state(spark, path, latest).count() == 16 * 50
+    assert sum(written) == 16 * 50 * 5  # levels 0 to 4
+    # a fold that died: its run is not whole, and the runs that it read are there
+    for b in range(16, 17):
+        up.add_batch(spark, path, spark.createDataFrame([(b, b)], "key long, batch int"), b, latest)
+    spark.range(1).write.parquet(f"{path}/run-1-16-17")
+    up.remove_path(spark, f"{path}/run-1-16-17/_SUCCESS")
+    assert [r[0] for r in up.state_runs(spark, path)] == [4, 0]
 
 
 def test_a_batch_of_refused_documents_completes_and_restarts(spark):
