@@ -46,6 +46,14 @@ FROM (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS week_start,
     CASE WHEN sum(o_orderkey) % 19 = 0 THEN NULL WHEN sum(o_orderkey) % 23 = 0 THEN CAST(0 AS BIGINT) ELSE CAST(count(*) * 3 AS BIGINT) END AS num_patients,
     max(o_orderdate) AS release_date
   FROM orders GROUP BY CAST(date_trunc('week', o_orderdate) AS DATE)) t""",
+    "fx_flu_regions": """
+SELECT region, CAST(extract(YEAR FROM week_start + INTERVAL 3 DAY) * 100 + extract(WEEK FROM week_start) AS BIGINT) AS epiweek,
+  week_start, wili, wili / 2 AS ili, num_ili, num_patients, release_date
+FROM (SELECT concat('r', CAST(o_custkey % 3 AS STRING)) AS region, CAST(date_trunc('week', o_orderdate) AS DATE) AS week_start,
+    CASE WHEN sum(o_orderkey) % 17 < 5 THEN NULL ELSE min(o_totalprice) / 5000 - 0.5 END AS wili, CAST(count(*) AS BIGINT) AS num_ili,
+    CASE WHEN sum(o_orderkey) % 19 = 0 THEN NULL WHEN sum(o_orderkey) % 23 = 0 THEN CAST(0 AS BIGINT) ELSE CAST(count(*) * 9 AS BIGINT) END AS num_patients,
+    max(o_orderdate) AS release_date
+  FROM orders GROUP BY o_custkey % 3, CAST(date_trunc('week', o_orderdate) AS DATE)) t""",
     "fx_flu_revisions": """
 SELECT 'ca' AS region, CAST(date_trunc('week', o_orderdate) AS DATE) AS week_start, o_orderpriority AS batch,
   min(o_totalprice) / 5000 AS wili,

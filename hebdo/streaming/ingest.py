@@ -6,6 +6,7 @@ or retried query resumes where it stopped.
 - :func:`weekly_tumbling`  Monday-aligned 7-day windows; late events count
 - :func:`stream_upsert`    the latest row per key over all micro-batches
 - :func:`stream_dedup`     natural keys, each once
+- :func:`stream_dedup_bounded`  the same with state for a window only
 - :func:`stream_ingest`    landing payload files through the batch ingest jobs
 
 The three event streams keep their state as what each micro-batch adds (reduced by key, a run per
@@ -24,6 +25,7 @@ from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, St
 from hebdo.operators.upsert import add_batch, latest_by
 from hebdo.session import forget_on_exit, scratch_path, unique_suffix
 from hebdo.sources.payloads import with_source
+from hebdo.sources.snapshots import insert_new
 
 EVENT_SCHEMA = StructType([
     StructField("event_id", LongType()), StructField("ts", TimestampType()),
@@ -102,6 +104,26 @@ def stream_dedup(spark: SparkSession, landing: str, state: str, checkpoint: str,
     return _fold(s.select(*keys), state, checkpoint, DataFrame.distinct)
 
 
+def stream_dedup_bounded(spark: SparkSession, landing: str, target_path: str, checkpoint: str, keys: list[str],
+                         window: str = "1 hour") -> str:
+    """Each natural key once, like ``stream_dedup``, with state for one window only.
+
+    Keys that repeat within ``window`` of their arrival are dropped by the stream's own state, which forgets
+    them after it. The window runs over the time of arrival (the batch's), not over event time, so
+    no row is late and none is dropped for it. What comes through is inserted into the versioned table at
+    ``target_path`` if the key isn't there: of the stored files only those whose range and bitmap
+    allow a key of the batch are read, and only new rows are written. A replay finds its keys there."""
+    s = (event_stream(spark, landing).withColumn("day", F.to_date("ts")).withColumn("arrived", F.current_timestamp())
+         .withWatermark("arrived", window).dropDuplicatesWithinWatermark(keys).select(*keys))
+
+    def add(batch: DataFrame, _batch_id: int) -> None:
+        insert_new(batch.sparkSession, target_path, batch, keys, "day" if "day" in keys else None)
+
+    q = (s.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return target_path
+
+
 def stream_ingest(spark: SparkSession, landing: str, target_path: str, checkpoint: str,
                   kind: str, quarantine_path: str | None = None, files_per_batch: int = 8) -> str:
     """Incremental ingest of landing payload files (STR1 + STR2): every micro-batch of new
