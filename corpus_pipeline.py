@@ -3,6 +3,15 @@
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``; ``run`` writes what a stage returns as
 Parquet below the shared checkpoint folder and reads it again as the next one's ``docs``. All
 but the last return the columns of documents.
+
+What the stages do with awkward rows: a null text counts as empty. The classifier scores empty and very
+long texts like any other; without labels of both classes it rejects none. All texts without a word are one
+text to exact dedup, which keeps the row with the longest text, then the smallest doc_id, a null one
+last; of rows that agree in both, one. MinHash leaves texts without words alone, and a doc_id with
+several rows goes only if none of them is kept. The mix repeats rows (and with them doc_ids); a null
+source is a source of its own, and a source without words gives none. BPE returns a row for each row
+that the mix gives; no tokens for an empty text. Extra columns, whatever their names, are carried along.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
