@@ -19,6 +19,8 @@ WEATHER_V1 = [("date", "DATE", True), ("region_label", "STRING", True), ("point_
               ("temp_max", "FLOAT64", False), ("temp_mean", "FLOAT64", False)]
 WEATHER_V2 = WEATHER_V1 + [("source_url", "STRING", False), ("chunk_start", "DATE", False)]
 
+ROWS_PER_TASK = 500_000
+
 
 def _layer(spark, name):
     db = f"{name}_{unique_suffix().replace('-', '_')}"
@@ -78,12 +80,16 @@ def q_clustered_table(spark, sf_dir):
     for load in (F.dayofmonth("date_utc") <= 20, F.dayofmonth("date_utc") > 20):
         T.append(pm.filter(load).select(*[f[0] for f in fields]), name)
     assert T.ensure_table(spark, name, T.schema_from_fields(fields), **layout) == []
-    rows = spark.table(name).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    rows = spark.table(name).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    # as many tasks as the rows need, so that what one of them sorts does not grow with the table
+    tasks = max(spark.sparkContext.defaultParallelism, -(-spark.table(name).count() // ROWS_PER_TASK))
+    rows = rows.withColumn("block", F.floor(F.col("at") / 65536)).repartition(tasks, "file", "block")
     key = F.struct("sensor_id", F.col("location_id").isNotNull(), "location_id")
     # a row that is smaller than one before it in its file would be out of order; per file, so no window over the table
-    per_file = Window.partitionBy("file", F.floor(F.col("at") / 65536)).orderBy("at")
+    per_file = Window.partitionBy("file", "block").orderBy("at")
     checked = rows.withColumn("in_order", F.coalesce(F.lag(key).over(per_file) <= key, F.lit(True)))
-    return (checked.groupBy("sensor_id", F.col("date_utc").cast("timestamp_ntz").alias("date_utc"), "location_id")
+    checked = checked.withColumn("date_utc", F.col("date_utc").cast("timestamp_ntz")).repartition(tasks, "sensor_id", "date_utc", "location_id")
+    return (checked.groupBy("sensor_id", "date_utc", "location_id")
             .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.min("in_order").alias("in_order")))
 
 
