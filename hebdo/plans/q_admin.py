@@ -20,6 +20,20 @@ WEATHER_V1 = [("date", "DATE", True), ("region_label", "STRING", True), ("point_
 WEATHER_V2 = WEATHER_V1 + [("source_url", "STRING", False), ("chunk_start", "DATE", False)]
 
 ROWS_PER_TASK = 500_000
+BLOCK_ROWS = 65_536
+
+
+def in_file_order(rows, key, tasks):
+    """``rows`` (with ``file`` and ``at``, the row's place in it) plus ``in_order``: false for a row that is smaller by ``key``
+    than the one before it in its file. Files are looked at in blocks, so that no task sorts a whole file;
+    the last row of a block also goes before the first of the next one, where it is only compared with."""
+    block = F.floor(F.col("at") / BLOCK_ROWS)
+    last = F.col("at") % BLOCK_ROWS == BLOCK_ROWS - 1
+    place = lambda b, edge: F.struct(b.alias("block"), F.lit(edge).alias("edge"))
+    placed = F.when(last, F.array(place(block, False), place(block + 1, True))).otherwise(F.array(place(block, False)))
+    rows = rows.select("*", F.inline(placed)).repartition(tasks, "file", "block")
+    before = F.lag(key).over(Window.partitionBy("file", "block").orderBy("at"))
+    return rows.withColumn("in_order", F.coalesce(before <= key, F.lit(True))).filter(~F.col("edge"))
 
 
 def _layer(spark, name):
@@ -83,11 +97,7 @@ def q_clustered_table(spark, sf_dir):
     rows = spark.table(name).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
     # as many tasks as the rows need, so that what one of them sorts does not grow with the table
     tasks = max(spark.sparkContext.defaultParallelism, -(-spark.table(name).count() // ROWS_PER_TASK))
-    rows = rows.withColumn("block", F.floor(F.col("at") / 65536)).repartition(tasks, "file", "block")
-    key = F.struct("sensor_id", F.col("location_id").isNotNull(), "location_id")
-    # a row that is smaller than one before it in its file would be out of order; per file, so no window over the table
-    per_file = Window.partitionBy("file", "block").orderBy("at")
-    checked = rows.withColumn("in_order", F.coalesce(F.lag(key).over(per_file) <= key, F.lit(True)))
+    checked = in_file_order(rows, F.struct("sensor_id", F.col("location_id").isNotNull(), "location_id"), tasks)
     checked = checked.withColumn("date_utc", F.col("date_utc").cast("timestamp_ntz")).repartition(tasks, "sensor_id", "date_utc", "location_id")
     return (checked.groupBy("sensor_id", "date_utc", "location_id")
             .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.min("in_order").alias("in_order")))
