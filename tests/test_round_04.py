@@ -1,8 +1,9 @@
-"""The order check at the edges of its blocks."""
+"""The order check at the edges of its blocks, one parse of a page."""
 
 from pyspark.sql import functions as F
 
 from hebdo.plans import q_admin
+from hebdo.sources import payloads as P
 from hebdo.sources import tables as T
 
 
@@ -15,3 +16,9 @@ def test_order_is_checked_across_blocks(spark, monkeypatch):
     monkeypatch.setattr(T, "clustered", lambda df, *_: df.coalesce(1))
     got = {r.sensor_id: (r.n, r.in_order) for r in q_admin.q_clustered_table(spark, "").collect()}
     assert got == {2: (65_536, True), 1: (4_464, False)}
+
+
+def test_a_page_is_parsed_once_and_its_lists_are_looked_up_once(spark):
+    pages = spark.createDataFrame([(1, "{}")], "sensor_id long, value string")
+    plan = P.parse_pm25_documents(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("parseJson"), plan.count("$.results"), plan.count("$.data")) == (1, 1, 1)
